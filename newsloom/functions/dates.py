@@ -109,7 +109,9 @@ def dev_to_ascii(col: Column) -> Column:
 
 
 def to_number(col: Column) -> Column:
-    return F.translate(col, _ALL_DIGITS, _ALL_VALUES).try_cast("int")
+    """Integer of decimal digits of any script; the two common scripts take the short way."""
+    common = dev_to_ascii(col)
+    return F.when(common.rlike("^[0-9]*+$"), common).otherwise(F.translate(col, _ALL_DIGITS, _ALL_VALUES)).try_cast("int")
 
 
 def month_number(name: Column) -> Column:
@@ -129,13 +131,16 @@ def bs_date_text(col: Column) -> Column:
 
 
 def bs_parts(col: Column) -> Column:
-    """``struct(year, month, day)`` of the first BS-looking date; the month is null when its name is unknown."""
+    """``struct(year, month, day)`` of the first BS-looking date, or null; an unknown month name is a null month."""
     return let(
         bs_date_text(col),
-        lambda text: F.struct(
-            to_number(F.regexp_extract(text, BS_DATE, 1)).alias("year"),
-            month_number(F.regexp_extract(text, BS_DATE, 2)).alias("month"),
-            to_number(F.regexp_extract(text, BS_DATE, 3)).alias("day"),
+        lambda text: F.when(
+            text.rlike(BS_DATE),
+            F.struct(
+                to_number(F.regexp_extract(text, BS_DATE, 1)).alias("year"),
+                month_number(F.regexp_extract(text, BS_DATE, 2)).alias("month"),
+                to_number(F.regexp_extract(text, BS_DATE, 3)).alias("day"),
+            ),
         ),
     )
 

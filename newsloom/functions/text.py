@@ -25,7 +25,13 @@ YEAR_MONTH_DAY = f"({DIGIT}{{4}}){BLANK}*({WORD}+){BLANK}*({DIGIT}{{1,2}}){BLANK
 MONTH_DAY = f"({WORD}+){BLANK}*({DIGIT}{{1,2}})"
 DAY_MONTH = f"({DIGIT}{{1,2}}){BLANK}*({WORD}+)"
 
-_ANY_MONTH = "|".join(NEPALI_MONTHS)
+
+def names_a_month(col: Column) -> Column:
+    """Plain substring tests; a pattern of alternatives would try each of them at every character."""
+    found = F.lit(False)
+    for name in NEPALI_MONTHS:
+        found = found | col.contains(name)
+    return found
 
 
 def rename_words(col: Column, words: dict[str, str]) -> Column:
@@ -62,7 +68,7 @@ def _rewrite(col: Column, pattern: str, year, month: int, day: int, calendar: BS
         )
 
     # A match changes only when it holds a month name, so a text without one is left out.
-    return let(col, lambda text: F.when(text.rlike(_ANY_MONTH), rewrite_matches(text, pattern, label)).otherwise(text))
+    return let(col, lambda text: F.when(names_a_month(text), rewrite_matches(text, pattern, label)).otherwise(text))
 
 
 def rewrite_year_month_day(col: Column, calendar: BSCalendar = CALENDAR) -> Column:

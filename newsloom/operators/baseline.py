@@ -10,7 +10,8 @@ from newsloom.operators.entities import ACTOR, LOCATION, first_matches
 from newsloom.operators.keyed import salted_join
 
 SENTENCE_END = r"[।.!?\n]+"
-WORD_EDGES = r"^[^\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}]+$"
+EDGES = r"^[^\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}]+$"
+BETWEEN_WORDS = r"[^\p{L}\p{M}\p{N}]*\s[^\p{L}\p{M}\p{N}]*"
 ISO_DATE = r"(?<!\d)(\d{4}-\d{2}-\d{2})(?!\d)"
 CLOCK = r"(?<!\d)((?:[01]?\d|2[0-3]):[0-5]\d)(?!\d)"
 
@@ -23,20 +24,22 @@ def sentences(articles: DataFrame) -> DataFrame:
 
 
 def words(sentence: Column) -> Column:
-    """Words without the punctuation around them."""
-    trimmed = F.transform(F.split(sentence, r"\s+", -1), lambda w: F.regexp_replace(w, WORD_EDGES, ""))
-    return F.filter(trimmed, lambda w: w != "")
+    """Words without the punctuation around them: cut at white space, together with the marks next to it."""
+    return F.filter(F.split(F.regexp_replace(sentence, EDGES, ""), BETWEEN_WORDS, -1), lambda w: w != "")
 
 
 def word_runs(ws: Column, longest: int) -> Column:
     """``struct(variant, at)`` for every run of one to ``longest`` words."""
 
     def runs(width: int) -> Column:
-        last = F.size(ws) - (width - 1)
-        at = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            at, lambda i: F.struct(F.array_join(F.slice(ws, i, F.lit(width)), " ").alias("variant"), i.alias("at"))
-        )
+        def run(i: Column) -> Column:
+            pieces = [F.get(ws, i)]
+            for step in range(1, width):
+                pieces += [F.lit(" "), F.get(ws, i + step)]
+            return F.struct(F.concat(*pieces).alias("variant"), (i + 1).alias("at"))
+
+        starts = F.when(F.size(ws) >= width, F.sequence(F.lit(0), F.size(ws) - width))
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), run)
 
     return F.concat(*[runs(width) for width in range(1, longest + 1)])
 

@@ -93,8 +93,12 @@ def _json(text: Column) -> Column:
     return F.try_parse_json(F.when(text.rlike(f"^{BLANK}*[{{\\[]"), strip(text)))
 
 
-def _is(kind: str, value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).startswith(kind), F.lit(False))
+def _is_string(value: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+
+
+def _is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string,variant>").isNotNull()
 
 
 def _text(value: Column) -> Column:
@@ -109,12 +113,10 @@ def _names(value: Column) -> Column:
     """Names of a list or of a lone string: inner lists flattened one level, everything but strings dropped."""
 
     def strings(item: Column) -> Column:
-        inner = F.transform(F.filter(_list(item), lambda x: _is("STRING", x)), _text)
-        return F.when(_is("STRING", item), F.array(_text(item))).when(_is("ARRAY", item), inner).otherwise(
-            F.array().cast("array<string>")
-        )
+        inner = F.transform(F.filter(_list(item), _is_string), _text)
+        return F.coalesce(inner, F.when(_is_string(item), F.array(_text(item))), F.array().cast("array<string>"))
 
-    items = F.when(_is("STRING", value), F.array(value)).when(_is("ARRAY", value), _list(value))
+    items = F.coalesce(_list(value), F.when(_is_string(value), F.array(value)))
     return F.flatten(F.transform(items, strings))
 
 
@@ -150,8 +152,8 @@ def parse_event_responses(df: DataFrame, column: str = "response") -> DataFrame:
     with ``parse_ok`` false and no entities; list items that are not objects are left out.
     """
     rows = df.withColumn("_v", _json(F.col(column)))
-    items = F.when(_is("OBJECT", F.col("_v")), F.array("_v")).otherwise(_list(F.col("_v")))
-    rows = rows.withColumn("_items", F.filter(items, lambda item: _is("OBJECT", item)))
+    items = F.coalesce(_list(F.col("_v")), F.when(F.col("_v").isNotNull(), F.array("_v")))
+    rows = rows.withColumn("_items", F.filter(items, _is_object))
     ok = F.col("_items").isNotNull() | F.col(column).isNull()
     typed = F.transform("_items", _entity)
     return rows.withColumns(
@@ -207,7 +209,7 @@ def parse_merge_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     per date over its chunks. Dates whose response is missing or no JSON list are the rejects.
     """
     rows = responses.withColumn(
-        "_items", F.from_json(F.when(_is("ARRAY", _json(F.col("response"))), F.col("response")), MERGED_ITEMS)
+        "_items", F.from_json(F.when(_list(_json(F.col("response"))).isNotNull(), F.col("response")), MERGED_ITEMS)
     )
     rejects = rows.where(F.col("_items").isNull()).drop("_items")
     flat = rows.where(F.col("_items").isNotNull()).select(

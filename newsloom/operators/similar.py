@@ -19,57 +19,45 @@ PRIME = 2_147_483_647
 def shingles(text: Column, width: int = 3) -> Column:
     """Distinct runs of ``width`` lower-case words; a shorter text is one shingle, an empty one has none."""
 
+    def run(words: Column, start: Column) -> Column:
+        pieces = [F.get(words, start)]
+        for step in range(1, width):
+            pieces += [F.lit(" "), F.get(words, start + step)]
+        return F.concat(*pieces)
+
     def runs(words: Column) -> Column:
         return F.when(F.size(words) == 0, words).when(
             F.size(words) <= width, F.array(F.array_join(words, " "))
-        ).otherwise(
-            F.transform(
-                F.sequence(F.lit(1), F.size(words) - (width - 1)),
-                lambda i: F.array_join(F.slice(words, i, F.lit(width)), " "),
-            )
-        )
+        ).otherwise(F.transform(F.sequence(F.lit(0), F.size(words) - width), lambda start: run(words, start)))
 
     words = F.filter(F.split(F.lower(text), r"\s+", -1), lambda w: w != "")
     return F.array_distinct(let(words, runs))
 
 
-def token_hash(token: Column) -> Column:
-    """64-bit number from the first half of the token's MD5."""
-    digest = F.md5(token)
-    high, low = (F.conv(F.substring(digest, at, 8), 16, 10).cast("bigint") for at in (1, 9))
-    return F.shiftleft(high, 32).bitwiseOR(low)
-
+def signatures(rows: DataFrame, group: Sequence[str], node: str, tokens: str, count: int) -> DataFrame:
+    """``(group, node, digest, m0 .. m{count-1})``: an order-free digest of the token set and its MinHash values.
 
-def distinct_sets(rows: DataFrame, group: Sequence[str], node: str, tokens: str) -> tuple[DataFrame, DataFrame]:
-    """``(members, sets)``: rows with the digest of their token set, and one row per distinct set.
-
-    Copies of one text fall together here, whatever their number, and take part below as a single node. Both tables
-    are written, since several steps read them; tokens are kept as 64-bit hashes only.
+    Each token gives two 32-bit numbers, from its MD5. Hashing and minimum run over exploded tokens, so they are a
+    map-side aggregate in generated code, and the token lists themselves are never shuffled or stored.
     """
-    group = list(group)
-    hashed = rows.where(F.size(tokens) > 0).select(
-        *group, node, F.array_sort(F.array_distinct(F.transform(tokens, token_hash))).alias("set")
+    keys = [*group, F.col(node).alias("node")]
+    hashed = rows.select(*keys, F.explode(tokens).alias("t")).select(*group, "node", F.md5("t").alias("h"))
+    halves = hashed.select(
+        *group, "node", *[F.conv(F.substring("h", at, 8), 16, 10).cast("bigint").alias(name) for name, at in (("a", 1), ("b", 9))]
     )
-    hashed = materialize(hashed.withColumn("_digest", F.md5(F.array_join("set", ","))), "hashed")
-    sets = hashed.groupBy(*group, "_digest").agg(F.min(node).alias("node"), F.any_value("set").alias("set"))
-    return hashed.select(*group, node, "_digest"), materialize(sets, "sets")
-
+    both = F.shiftleft("a", 32).bitwiseOR(F.col("b"))
+    minima = [F.min((F.col("a") + F.lit(k) * F.col("b")) % F.lit(PRIME)).alias(f"m{k}") for k in range(count)]
+    signed = halves.groupBy(*group, "node").agg(
+        F.count(F.lit(1)).alias("_size"), F.bit_xor(both).alias("_x"), F.bit_xor(F.xxhash64("a", "b")).alias("_y"), *minima
+    )
+    digest = F.concat_ws("/", "_size", F.hex("_x"), F.hex("_y")).alias("digest")
+    return signed.select(*group, "node", digest, *[f"m{k}" for k in range(count)])
 
-def signatures(sets: DataFrame, group: Sequence[str], count: int) -> DataFrame:
-    """MinHash values ``m0 .. m{count-1}`` per node from the two 32-bit halves of each token hash.
 
-    The minimum runs over exploded tokens, so it is a map-side aggregate in generated code.
-    """
-    keys = [*group, "node"]
-    tokens = sets.select(*keys, F.explode("set").alias("h"))
-    halves = tokens.select(
-        *keys,
-        F.shiftrightunsigned("h", 32).alias("a"),
-        F.col("h").bitwiseAND(F.lit(0xFFFFFFFF).cast("bigint")).alias("b"),
-    )
-    return halves.groupBy(*keys).agg(
-        *[F.min((F.col("a") + F.lit(k) * F.col("b")) % F.lit(PRIME)).alias(f"m{k}") for k in range(count)]
-    )
+def distinct_sets(signed: DataFrame, group: Sequence[str]) -> DataFrame:
+    """One row per distinct token set, under its smallest node: copies of one text take part as one."""
+    values = [c for c in signed.columns if c.startswith("m")]
+    return signed.groupBy(*group, "digest").agg(F.min("node").alias("node"), *[F.min(c).alias(c) for c in values])
 
 
 def band_rows(signed: DataFrame, group: Sequence[str], bands: int, rows: int) -> DataFrame:
@@ -83,20 +71,28 @@ def band_rows(signed: DataFrame, group: Sequence[str], bands: int, rows: int) ->
     return signed.select(*group, "node", F.explode(F.array(*keys)).alias("k")).select(*group, "node", "k.*")
 
 
-def similar_edges(
-    sets: DataFrame, group: Sequence[str], threshold: float = 0.5, bands: int = 16, rows: int = 3
-) -> DataFrame:
-    """``(group, src, dst)`` between distinct sets whose Jaccard similarity is at least ``threshold``.
-
-    Every set of a band bucket is compared, over its whole token set, with the first and the last node of the bucket.
-    """
+def candidate_pairs(sets: DataFrame, group: Sequence[str], bands: int, rows: int) -> DataFrame:
+    """``(group, src, dst)``: every set of a band bucket with the first and with the last node of the bucket."""
     group = list(group)
-    buckets = materialize(band_rows(signatures(sets, group, bands * rows), group, bands, rows), "bands")
+    buckets = materialize(band_rows(sets, group, bands, rows), "bands")
     pairs = star_edges(buckets, [*group, "band", "value"], "node", group)
-    pairs = pairs.select(*group, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
-    for end in ("src", "dst"):
+    return pairs.select(*group, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+
+
+def similar_pairs(
+    pairs: DataFrame, rows: DataFrame, group: Sequence[str], node: str, tokens: str, threshold: float
+) -> DataFrame:
+    """The pairs whose Jaccard similarity over the whole token sets is at least ``threshold``."""
+    group = list(group)
+    pairs = materialize(pairs, "pairs")
+    ends = pairs.select(*group, F.explode(F.array("src", "dst")).alias(node)).distinct()
+    # Tokens are made again for the few rows that have a candidate, rather than kept for all.
+    needed = rows.join(ends, [*group, node], "left_semi")
+    sets = materialize(
+        needed.select(*group, F.col(node).alias("node"), F.transform(tokens, lambda t: F.xxhash64(t)).alias("set")), "sets"
+    )
+    for end, other in (("src", "dst"), ("dst", "src")):
         side = sets.select(*group, F.col("node").alias(end), F.col("set").alias(f"_{end}"))
-        other = "dst" if end == "src" else "src"
         pairs = salted_join(pairs, side, [*group, end], spread=[other])
     both = F.size(F.array_intersect("_src", "_dst"))
     jaccard = both / (F.size("_src") + F.size("_dst") - both)
@@ -104,32 +100,35 @@ def similar_edges(
 
 
 def similar_groups(
-    df: DataFrame,
+    rows: DataFrame,
     group: Sequence[str],
     node: str,
     tokens: str,
     threshold: float = 0.5,
     bands: int = 16,
-    rows: int = 3,
+    band_width: int = 3,
     hot_rows: int = HOT_ROWS,
     small_bytes: int | None = None,
 ) -> DataFrame:
     """``(group, node, component)`` for every row: the smallest node of its connected near copies.
 
-    A row without tokens is alone.
+    ``tokens`` is a column of distinct strings. A row without tokens is alone.
     """
     group = list(group)
-    members, sets = distinct_sets(df, group, node, tokens)
-    edges = similar_edges(sets, group, threshold, bands, rows)
-    labels = connected_components(edges, group, hot_rows=hot_rows, small_bytes=small_bytes)
+    signed = materialize(signatures(rows, group, node, tokens, bands * band_width), "signatures")
+    sets = distinct_sets(signed, group)
+    pairs = similar_pairs(candidate_pairs(sets, group, bands, band_width), rows, group, node, tokens, threshold)
+    labels = connected_components(pairs, group, hot_rows=hot_rows, small_bytes=small_bytes)
     roots = (
-        sets.select(*group, "_digest", "node")
+        signed.groupBy(*group, "digest")
+        .agg(F.min("node").alias("node"))
         .join(labels, [*group, "node"], "left")
-        .select(*group, "_digest", F.coalesce("component", "node").alias("component"))
+        .select(*group, "digest", F.coalesce("component", "node").alias("component"))
     )
     # Copies of one text may be a large share of all rows, hence the salt.
     found = salted_join(
-        members, roots, [*group, "_digest"], spread=[node], hot_rows=hot_rows, small_bytes=small_bytes
-    ).select(*group, node, "component")
-    alone = df.where(F.coalesce(F.size(tokens), F.lit(0)) <= 0).select(*group, node, F.col(node).alias("component"))
+        signed.select(*group, "node", "digest"), roots, [*group, "digest"], spread=["node"], hot_rows=hot_rows,
+        small_bytes=small_bytes,
+    ).select(*group, F.col("node").alias(node), "component")
+    alone = rows.where(F.coalesce(F.size(tokens), F.lit(0)) <= 0).select(*group, node, F.col(node).alias("component"))
     return found.unionByName(alone)

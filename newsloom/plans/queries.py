@@ -499,7 +499,8 @@ def resolve_aliases(spark, sf):
 
 @query
 def extract_baseline(spark, sf):
-    rows = baseline.extract_events(a.text_articles(spark, sf), a.word_aliases(spark, sf), longest=2)
+    dictionary = materialize(a.word_aliases(spark, sf), "dictionary")
+    rows = baseline.extract_events(a.text_articles(spark, sf), dictionary, longest=2)
     return rows.withColumns({"actors": joined("actors"), "location": joined("location"), "event": F.md5("event"), "details": F.md5("details")})
 
 
