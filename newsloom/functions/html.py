@@ -98,7 +98,8 @@ def _open_tag(tag: str, class_token: str | None) -> str:
         return rf"(?i)<{tag}(?=[\s/>]){_ATTRIBUTES}>"
     token = re.escape(class_token)
     quoted = [rf"{q}(?:[^{q}>]*\s)?{token}(?:\s[^{q}>]*)?{q}" for q in ('"', "'")]
-    has_class = rf"(?=[^>]*\s(?i:class)\s*=\s*(?:{quoted[0]}|{quoted[1]}|{token}(?=[\s/>])))"
+    before = r"""(?:[^>"']|"[^"]*+"|'[^']*+')*?"""
+    has_class = rf"(?={before}\s(?i:class)\s*=\s*(?:{quoted[0]}|{quoted[1]}|{token}(?=[\s/>])))"
     return rf"(?i:<{tag})(?=[\s/>]){has_class}{_ATTRIBUTES}>"
 
 

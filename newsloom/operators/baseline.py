@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.patterns import strip
 from newsloom.operators.entities import ACTOR, LOCATION, first_matches
-from newsloom.operators.keyed import salted_join
+from newsloom.operators.keyed import salted_join, spread
 
 SENTENCE_END = r"[।.!?\n]+"
 EDGES = r"^[^\p{L}\p{M}\p{N}]+|[^\p{L}\p{M}\p{N}]+$"
@@ -19,7 +19,7 @@ CLOCK = r"(?<!\d)((?:[01]?\d|2[0-3]):[0-5]\d)(?!\d)"
 def sentences(articles: DataFrame) -> DataFrame:
     """``pos, sentence_no, sentence`` over the whole content; empty pieces give no row."""
     pieces = F.transform(F.split("content", SENTENCE_END, -1), strip)
-    rows = articles.select("pos", F.posexplode(pieces).alias("sentence_no", "sentence"))
+    rows = spread(articles.select("pos", "content")).select("pos", F.posexplode(pieces).alias("sentence_no", "sentence"))
     return rows.where(F.col("sentence") != "")
 
 

@@ -11,18 +11,26 @@ from newsloom.operators.keyed import HOT_ROWS, MAX_HOT_KEYS, salted_join
 from newsloom.session import materialize
 
 
-def star_edges(members: DataFrame, bucket: Sequence[str], node: str, group: Sequence[str] = ()) -> DataFrame:
+def star_edges(
+    members: DataFrame,
+    bucket: Sequence[str],
+    node: str,
+    group: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+    small_bytes: int | None = None,
+) -> DataFrame:
     """``(group, src, dst)``: every member of a bucket linked to the first and to the last node of the bucket.
 
-    Two edges per member replace the pairs inside a bucket, so the output grows with the members only.
+    Two edges per member replace the pairs inside a bucket, so the output grows with the members only. Buckets of one
+    node, mostly the bulk, leave before the join; the rest is written, so that its size decides how it is joined.
     """
     bucket = list(bucket)
-    ends = (
-        members.groupBy(*bucket)
-        .agg(F.min(node).alias("_first"), F.max(node).alias("_last"))
-        .where(F.col("_first") < F.col("_last"))
+    ends = members.groupBy(*bucket).agg(
+        F.min(node).alias("_first"), F.max(node).alias("_last"), F.count(F.lit(1)).alias("_rows")
     )
-    linked = salted_join(members, ends, bucket, spread=[node])
+    ends = materialize(ends.where(F.col("_first") < F.col("_last")), "ends")
+    hot = ends.where(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
+    linked = salted_join(members, ends.drop("_rows"), bucket, spread=[node], hot=hot, small_bytes=small_bytes)
     pairs = linked.select(*group, F.col(node).alias("src"), F.explode(F.array("_first", "_last")).alias("dst"))
     return pairs.where(F.col("src") != F.col("dst")).distinct()
 

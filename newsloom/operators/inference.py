@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.patterns import BLANK, strip
-from newsloom.operators.keyed import number_all, number_in_group, pack
+from newsloom.operators.keyed import number_all, number_in_group, pack, spread
 from newsloom.session import materialize
 
 EXTRACT_INSTRUCTIONS = (
@@ -151,7 +151,7 @@ def parse_event_responses(df: DataFrame, column: str = "response") -> DataFrame:
     A missing response is an empty list, a lone object a list of one. Text that is no JSON stays in ``raw_response``
     with ``parse_ok`` false and no entities; list items that are not objects are left out.
     """
-    rows = df.withColumn("_v", _json(F.col(column)))
+    rows = spread(df).withColumn("_v", _json(F.col(column)))
     items = F.coalesce(_list(F.col("_v")), F.when(F.col("_v").isNotNull(), F.array("_v")))
     rows = rows.withColumn("_items", F.filter(items, _is_object))
     ok = F.col("_items").isNotNull() | F.col(column).isNull()

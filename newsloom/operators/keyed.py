@@ -22,6 +22,16 @@ def broadcast_limit(df: DataFrame) -> int:
     return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 
+def spread(df: DataFrame, task_bytes: int = 16 << 20) -> DataFrame:
+    """Rows over all cores before heavy per-row work, when the input is too small to give every core a split.
+
+    A file of one row group is one task however many cores wait. Input with a full split for every core stays as it
+    is and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_bytes(df) < cores * task_bytes else df
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """The keys with most rows, at most ``max_keys`` of them, so the list is always small enough to broadcast.
 
@@ -86,14 +96,18 @@ def number_in_group(
     chunk = F.shiftright(F.col(order[0]), chunk_bits)
     sizes = df.select(*group, chunk.alias("_chunk")).groupBy(*group, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    moves = sizes.select(*group, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    moves = sizes.select(
+        *[F.col(name).alias(f"_of_{name}") for name in group],
+        F.col("_chunk").alias("_of_chunk"),
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
+    )
     inside = Window.partitionBy(*group, "_chunk").orderBy(*order)
     numbered = df.withColumn("_chunk", chunk).withColumn("_inside", F.row_number().over(inside))
-    return (
-        numbered.join(moves, [*group, "_chunk"])
-        .withColumn(out, F.col("_inside") + F.col("_before"))
-        .select(*df.columns, out)
-    )
+    # Null-safe, so that a null group is a group too.
+    same = F.col("_chunk").eqNullSafe(F.col("_of_chunk"))
+    for name in group:
+        same = same & F.col(name).eqNullSafe(F.col(f"_of_{name}"))
+    return numbered.join(moves, same).withColumn(out, F.col("_inside") + F.col("_before")).select(*df.columns, out)
 
 
 def number_all(df: DataFrame, order: Sequence[str | Column], out: str = "number", label: str = "numbered") -> DataFrame:

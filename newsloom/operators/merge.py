@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.operators.keyed import number_in_group, pack
+from newsloom.operators.keyed import number_in_group, pack, spread
 from newsloom.operators.similar import shingles, similar_groups
 from newsloom.session import materialize
 
@@ -19,7 +19,8 @@ def merge_events(dated: DataFrame, threshold: float = 0.5, width: int = 3, **opt
     title and details are those of that member; actors come without repeats in the order of the members. Everything
     is kept flat, so a merged event may have any number of members.
     """
-    rows = dated.select(
+    texts = spread(dated.select("event_date", "id", "event", "details"))
+    rows = texts.select(
         "event_date",
         F.col("id").cast("bigint").alias("n"),
         shingles(F.concat_ws(" ", "event", "details"), width).alias("tokens"),

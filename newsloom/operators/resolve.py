@@ -57,15 +57,16 @@ def resolve_aliases(
     counted = used.groupBy(F.col(column).alias("name")).agg(F.count(F.lit(1)).alias("uses"))
     counted = materialize(counted, "names")
     keyed = counted.select("name", F.explode(spelling_keys(F.col("name"), min_letters)).alias("key"))
-    edges = star_edges(keyed.where(F.col("key") != ""), ["key"], "name")
-    labels = connected_components(edges, hot_rows=hot_rows, small_bytes=small_bytes)
+    join = {"hot_rows": hot_rows, "small_bytes": small_bytes}
+    edges = star_edges(keyed.where(F.col("key") != ""), ["key"], "name", **join)
+    labels = connected_components(edges, **join)
     placed = counted.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
         "name", "uses", F.coalesce("component", "name").alias("component")
     )
     placed = materialize(placed, "placed")
     best = placed.groupBy("component").agg(F.min(F.struct(-F.col("uses"), F.col("name").alias("name"))).alias("b"))
     heads = best.select("component", F.col("b.name").alias("canonical"))
-    found = salted_join(placed, heads, ["component"], spread=["name"], hot_rows=hot_rows, small_bytes=small_bytes)
+    found = salted_join(placed, heads, ["component"], spread=["name"], **join)
     return found.select(
         F.lit(kind).alias("kind"), "canonical", F.col("name").alias("variant"), F.lit(0).cast("bigint").alias("rank"), "uses"
     )

@@ -71,20 +71,20 @@ def band_rows(signed: DataFrame, group: Sequence[str], bands: int, rows: int) ->
     return signed.select(*group, "node", F.explode(F.array(*keys)).alias("k")).select(*group, "node", "k.*")
 
 
-def candidate_pairs(sets: DataFrame, group: Sequence[str], bands: int, rows: int) -> DataFrame:
+def candidate_pairs(sets: DataFrame, group: Sequence[str], bands: int, rows: int, **join) -> DataFrame:
     """``(group, src, dst)``: every set of a band bucket with the first and with the last node of the bucket."""
     group = list(group)
     buckets = materialize(band_rows(sets, group, bands, rows), "bands")
-    pairs = star_edges(buckets, [*group, "band", "value"], "node", group)
+    pairs = star_edges(buckets, [*group, "band", "value"], "node", group, **join)
     return pairs.select(*group, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
 
 def similar_pairs(
-    pairs: DataFrame, rows: DataFrame, group: Sequence[str], node: str, tokens: str, threshold: float
+    pairs: DataFrame, rows: DataFrame, group: Sequence[str], node: str, tokens: str, threshold: float, **join
 ) -> DataFrame:
     """The pairs whose Jaccard similarity over the whole token sets is at least ``threshold``."""
     group = list(group)
-    pairs = materialize(pairs, "pairs")
+    pairs = stored = materialize(pairs, "pairs")
     ends = pairs.select(*group, F.explode(F.array("src", "dst")).alias(node)).distinct()
     # Tokens are made again for the few rows that have a candidate, rather than kept for all.
     needed = rows.join(ends, [*group, node], "left_semi")
@@ -93,7 +93,7 @@ def similar_pairs(
     )
     for end, other in (("src", "dst"), ("dst", "src")):
         side = sets.select(*group, F.col("node").alias(end), F.col("set").alias(f"_{end}"))
-        pairs = salted_join(pairs, side, [*group, end], spread=[other])
+        pairs = salted_join(pairs, side, [*group, end], spread=[other], hot_from=stored, **join)
     both = F.size(F.array_intersect("_src", "_dst"))
     jaccard = both / (F.size("_src") + F.size("_dst") - both)
     return pairs.where(jaccard >= threshold).select(*group, "src", "dst")
@@ -115,10 +115,12 @@ def similar_groups(
     ``tokens`` is a column of distinct strings. A row without tokens is alone.
     """
     group = list(group)
+    join = {"hot_rows": hot_rows, "small_bytes": small_bytes}
     signed = materialize(signatures(rows, group, node, tokens, bands * band_width), "signatures")
     sets = distinct_sets(signed, group)
-    pairs = similar_pairs(candidate_pairs(sets, group, bands, band_width), rows, group, node, tokens, threshold)
-    labels = connected_components(pairs, group, hot_rows=hot_rows, small_bytes=small_bytes)
+    candidates = candidate_pairs(sets, group, bands, band_width, **join)
+    pairs = similar_pairs(candidates, rows, group, node, tokens, threshold, **join)
+    labels = connected_components(pairs, group, **join)
     roots = (
         signed.groupBy(*group, "digest")
         .agg(F.min("node").alias("node"))
@@ -127,8 +129,7 @@ def similar_groups(
     )
     # Copies of one text may be a large share of all rows, hence the salt.
     found = salted_join(
-        signed.select(*group, "node", "digest"), roots, [*group, "digest"], spread=["node"], hot_rows=hot_rows,
-        small_bytes=small_bytes,
-    ).select(*group, F.col("node").alias(node), "component")
+        signed.select(*group, "node", "digest"), roots, [*group, "digest"], spread=["node"], **join
+    ).select(*group, F.col("node").alias(node), "component")
     alone = rows.where(F.coalesce(F.size(tokens), F.lit(0)) <= 0).select(*group, node, F.col(node).alias("component"))
     return found.unionByName(alone)

@@ -21,6 +21,7 @@ from newsloom.functions.text import rename_time_words, rename_weekdays, rewrite_
 from newsloom.operators import baseline, entities, graph, grouping, inference, merge, resolve, similar
 from newsloom.operators import star as starry
 from newsloom.operators.components import connected_components
+from newsloom.operators.keyed import spread
 from newsloom.plans import adapters as a
 from newsloom.plans import pipeline
 from newsloom.session import materialize, new_path
@@ -281,7 +282,7 @@ def merged_nested(spark, sf):
 
 @query
 def dates_gregorian(spark, sf):
-    rows = a.gregorian_lines(spark, sf)
+    rows = spread(a.gregorian_lines(spark, sf))
     line = F.col("line")
     return rows.select(
         "o_orderkey", "line", parse_gregorian_date(line).cast("string").alias("date"), published_label(line).alias("label")
@@ -290,7 +291,7 @@ def dates_gregorian(spark, sf):
 
 @query
 def dates_bs(spark, sf):
-    rows = a.bs_lines(spark, sf).withColumn("p", parse_nepali_date(F.col("line")))
+    rows = spread(a.bs_lines(spark, sf)).withColumn("p", parse_nepali_date(F.col("line")))
     return rows.select(
         "event_id",
         F.col("p.bs.year").cast("bigint").alias("bs_year"),
@@ -305,7 +306,7 @@ def dates_bs(spark, sf):
 
 @query
 def digits_and_months(spark, sf):
-    rows = a.bs_lines(spark, sf)
+    rows = spread(a.bs_lines(spark, sf))
     return rows.select(
         "event_id", dev_to_ascii(F.col("line")).alias("line"), month_number(F.col("month")).cast("bigint").alias("month")
     )
@@ -313,13 +314,13 @@ def digits_and_months(spark, sf):
 
 @query
 def text_dates(spark, sf):
-    rows = a.dated_sentences(spark, sf)
+    rows = spread(a.dated_sentences(spark, sf))
     return rows.select("event_id", rewrite_text(F.col("sentence"), a.REFERENCE_YEAR).alias("sentence"))
 
 
 @query
 def text_words(spark, sf):
-    rows = a.dated_sentences(spark, sf)
+    rows = spread(a.dated_sentences(spark, sf))
     days = rename_weekdays(F.col("sentence"))
     return rows.select(
         "event_id",
@@ -335,13 +336,13 @@ def text_words(spark, sf):
 @query
 def page_titles(spark, sf):
     clean = drop_noise(F.col("html"))
-    return a.table(spark, sf, "pages").select("page_id", extract_title(clean, a.PAGE_LAYOUT).alias("title"))
+    return spread(a.table(spark, sf, "pages")).select("page_id", extract_title(clean, a.PAGE_LAYOUT).alias("title"))
 
 
 @query
 def page_content(spark, sf):
     page = extract_page(F.col("html"), a.PAGE_LAYOUT)
-    rows = a.table(spark, sf, "pages").select("page_id", page.alias("p"))
+    rows = spread(a.table(spark, sf, "pages")).select("page_id", page.alias("p"))
     return rows.select("page_id", "p.content", F.col("p.published_raw").alias("published_raw"))
 
 
@@ -349,7 +350,7 @@ def page_content(spark, sf):
 def page_paragraphs_fallback(spark, sf):
     """A container no page has: every paragraph of the page."""
     layout = type(a.PAGE_LAYOUT)(title_class=None)
-    rows = a.table(spark, sf, "pages").select("page_id", extract_page(F.col("html"), layout).alias("p"))
+    rows = spread(a.table(spark, sf, "pages")).select("page_id", extract_page(F.col("html"), layout).alias("p"))
     return rows.select("page_id", "p.content")
 
 
@@ -463,7 +464,7 @@ def merge_responses(spark, sf):
 
 
 def document_groups(spark, sf):
-    rows = a.document_events(spark, sf).select(
+    rows = spread(a.document_events(spark, sf)).select(
         "event_date", F.col("id").cast("bigint").alias("n"), similar.shingles(F.col("details")).alias("tokens")
     )
     return similar.similar_groups(rows, ["event_date"], "n", "tokens")
@@ -552,6 +553,19 @@ def sink_grouped_events(spark, sf):
     return rows.select("event_date", "e.id", "e.event", "e.article_url", joined("e.actors").alias("actors"))
 
 
+@query
+def sink_merged_events(spark, sf):
+    path = new_path(spark, "narrative")
+    parts = merged_parts(spark, sf)
+    writers.write_merged_events(merge.nest_merged(parts["events"], parts["actors"], parts["sources"], size=50), path)
+    item = "struct<title:string,article_url:string,published_date:string>"
+    schema = f"event_date string, merged_id bigint, chunk bigint, event string, details string, sources array<{item}>"
+    back = spark.read.schema(schema).json(path)
+    return back.select("event_date", "merged_id", "event", "details", F.explode("sources").alias("s")).select(
+        "event_date", "merged_id", "event", "details", "s.*"
+    )
+
+
 @query
 def sink_star(spark, sf):
     """Six tables written and read again, then the graph from the files."""

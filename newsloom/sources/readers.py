@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom import schemas
 from newsloom.functions.html import LAYOUT, PageLayout, decode_utf8, extract_page
 from newsloom.operators.inference import dictionary_rows
-from newsloom.operators.keyed import broadcast_limit, estimated_bytes, number_all
+from newsloom.operators.keyed import broadcast_limit, estimated_bytes, number_all, spread
 
 
 def _in_file_order(df: DataFrame, dense: bool) -> DataFrame:
@@ -51,7 +51,7 @@ def attach_extracted(urls: DataFrame, pages: DataFrame, layout: PageLayout = LAY
     """
     if estimated_bytes(urls) <= broadcast_limit(urls):
         pages = pages.join(urls.select("url"), "url", "left_semi")
-    read = pages.select("url", extract_page(F.col("html"), layout).alias("p")).select("url", "p.*")
+    read = spread(pages.select("url", "html")).select("url", extract_page(F.col("html"), layout).alias("p")).select("url", "p.*")
     fields = ["title", "published_raw", "content"]
     return urls.join(read, "url", "left").withColumns({c: F.coalesce(c, F.lit("")) for c in fields})
 

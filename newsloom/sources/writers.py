@@ -46,6 +46,12 @@ def write_grouped_events(dated: DataFrame, path: str, size: int = 10_000) -> Non
     lists.orderBy("event_date", "chunk").write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def write_merged_events(nested: DataFrame, path: str) -> None:
+    """JSON lines of merged events with their sources, in date order. ``path`` must not be what ``nested`` reads."""
+    rows = nested.orderBy("event_date", "merged_id", "chunk")
+    rows.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
+
+
 def unfinished(dated: DataFrame, path: str) -> DataFrame:
     """Rows of dates that have no folder under ``path`` yet."""
     spark = dated.sparkSession

@@ -47,7 +47,9 @@ def append_once(articles: DataFrame, path: str, checkpoint: str) -> StreamingQue
         rows = batch.dropDuplicates(["id"]).withColumn("day", day)
         location = spark._jvm.org.apache.hadoop.fs.Path(path)
         if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
-            stored = spark.read.schema(rows.schema).parquet(path).select("id", "day")
+            # The days of one batch are a short list; with it only their folders are read, not the whole history.
+            days = [row.day for row in rows.select("day").distinct().collect()]
+            stored = spark.read.schema(rows.schema).parquet(path).where(F.col("day").isin(days)).select("id", "day")
             rows = rows.join(stored, ["id", "day"], "left_anti")
         rows.write.mode("append").partitionBy("day").parquet(path)
 
