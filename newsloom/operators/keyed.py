@@ -88,7 +88,7 @@ def number_in_group(
 ) -> DataFrame:
     """``1..n`` per group in the given order, without one task ever holding a whole group.
 
-    The first order column must be a non-negative row position. Its high bits cut every group into chunks of at
+    Group columns are not null. The first order column must be a non-negative row position. Its high bits cut every group into chunks of at
     most ``2**chunk_bits`` positions; rows are numbered inside a chunk, and each chunk is moved up by the
     number of rows in the chunks before it, which is a running sum over one row per chunk.
     """
@@ -96,18 +96,15 @@ def number_in_group(
     chunk = F.shiftright(F.col(order[0]), chunk_bits)
     sizes = df.select(*group, chunk.alias("_chunk")).groupBy(*group, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    moves = sizes.select(
-        *[F.col(name).alias(f"_of_{name}") for name in group],
-        F.col("_chunk").alias("_of_chunk"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-    )
+    moves = sizes.select(*group, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(*group, "_chunk").orderBy(*order)
     numbered = df.withColumn("_chunk", chunk).withColumn("_inside", F.row_number().over(inside))
-    # Null-safe, so that a null group is a group too.
-    same = F.col("_chunk").eqNullSafe(F.col("_of_chunk"))
-    for name in group:
-        same = same & F.col(name).eqNullSafe(F.col(f"_of_{name}"))
-    return numbered.join(moves, same).withColumn(out, F.col("_inside") + F.col("_before")).select(*df.columns, out)
+    # The join keys are those of the window, so the rows are shuffled once for both.
+    return (
+        numbered.join(moves, [*group, "_chunk"], "left")
+        .withColumn(out, F.col("_inside") + F.coalesce("_before", F.lit(0)))
+        .select(*df.columns, out)
+    )
 
 
 def number_all(df: DataFrame, order: Sequence[str | Column], out: str = "number", label: str = "numbered") -> DataFrame:

@@ -21,7 +21,8 @@ def write_aliases(aliases: DataFrame, path: str, size: int = 10_000) -> None:
     """JSON lines ``{kind, canonical, rank, chunk, variants}``, at most ``size`` variants to a line."""
     keys = ["kind", "canonical", "rank"]
     # Spread by hash, so that one name with very many variants is not numbered in one task.
-    rows = aliases.select(*keys, "variant").distinct().withColumn("_h", F.pmod(F.xxhash64("variant"), F.lit(1 << 30)))
+    ranked = aliases.withColumn("rank", F.coalesce("rank", F.lit(0)))
+    rows = ranked.select(*keys, "variant").distinct().withColumn("_h", F.pmod(F.xxhash64("variant"), F.lit(1 << 30)))
     numbered = number_in_group(rows, keys, ["_h", "variant"], "n", chunk_bits=22)
     pack(numbered, keys, "n", F.col("variant"), size, "variants").write.mode("overwrite").json(path)
 
