@@ -37,6 +37,7 @@ _PARAGRAPH_START = rf"(?i)<p(?=[\s/>]){_ATTRIBUTES}>"
 
 @dataclass(frozen=True)
 class PageLayout:
+    # Tags and classes of the news pages.
     title_tag: str = "h1"
     title_class: str | None = "entry-title"
     date_tag: str = "div"

@@ -291,10 +291,10 @@ ORACLES = {
             (SELECT md5(text) FROM documents h WHERE h.doc_id + 1 = component) AS details, count(*) AS members, count(DISTINCT source) AS actors
         FROM groups JOIN documents d ON d.doc_id + 1 = n GROUP BY 1, 2""",
     "components": """WITH RECURSIVE e AS (
-            SELECT c_custkey AS x, c_custkey // 2 AS y FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey <> 0
-            UNION SELECT c_custkey, 7 FROM customer WHERE c_nationkey = 7 AND c_custkey <> 7),
+            SELECT CAST(c_nationkey AS BIGINT) * 1000000000 + c_custkey AS x, CAST(c_nationkey AS BIGINT) * 1000000000 + c_custkey // 2 AS y
+            FROM customer WHERE c_custkey <> c_custkey // 2),
         pairs AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
-        reach AS (SELECT x AS node, x AS root FROM pairs UNION SELECT b.y, r.root FROM reach r JOIN pairs b ON b.x = r.node)
+        reach AS (SELECT x AS node, x AS root FROM pairs UNION SELECT p.y, r.root FROM reach r JOIN pairs p ON p.x = r.node)
         SELECT node, min(root) AS component FROM reach GROUP BY 1""",
     "resolve_aliases": r"""WITH RECURSIVE used AS (SELECT CASE p_partkey % 8
             WHEN 0 THEN left(p_name, p_partkey % 5) || substr(p_name, p_partkey % 5 + 2)

@@ -486,11 +486,12 @@ def merge_events(spark, sf):
 
 @query
 def components(spark, sf):
-    """Customers linked to the customer of the nation before, and to the one with half the key."""
-    people = a.table(spark, sf, "customer").select(F.col("c_custkey").alias("src"), "c_nationkey")
-    half = people.where("src % 3 <> 0").select("src", F.floor(F.col("src") / 2).alias("dst"))
-    hub = people.where("c_nationkey = 7").select("src", F.lit(7).cast("bigint").alias("dst"))
-    return connected_components(half.unionByName(hub))
+    """Each customer linked to the one of half its key in its nation: one deep tree per nation."""
+    base = F.col("c_nationkey").cast("bigint") * 1_000_000_000
+    people = a.table(spark, sf, "customer")
+    return connected_components(
+        people.select((base + F.col("c_custkey")).alias("src"), (base + F.floor(F.col("c_custkey") / 2)).alias("dst"))
+    )
 
 
 @query
@@ -610,7 +611,8 @@ def _log(spark: SparkSession, sf: str) -> str:
 
 def _shown(spark: SparkSession, path: str) -> DataFrame:
     rows = spark.read.parquet(path)
-    stamp = F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp")
+    utc = F.to_utc_timestamp("timestamp", F.current_timezone())
+    stamp = F.date_format(utc, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp")
     return rows.select("id", "title", stamp)
 
 
