@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -44,6 +46,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Makes the package importable in the Python workers of a cluster; a local master needs nothing."""
+    context = spark.sparkContext
+    if context.master.startswith("local[") or context.master == "local" or getattr(context, "_newsloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    # The archive is code for the driver's file server, not data that executors would look for.
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="newsloom-"), "newsloom"), "zip", root, "newsloom")
+    context.addPyFile(archive)
+    context._newsloom_shipped = True
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/newsloom/{label}-{uuid.uuid4().hex}"
 
