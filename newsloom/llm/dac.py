@@ -171,13 +171,13 @@ def part_of(rows: DataFrame, key: str, parts: int) -> F.Column:
         return F.lit(0).cast("long")
     # How many bounds a key reaches, found by halving rather than by one comparison for each bound.
     stored = F.array(*[F.lit(int(b)) for b in bounds])
-    place = F.lit(0)
-    step = 1 << (len(bounds).bit_length() - 1)
-    while step:
-        reach = place + F.lit(step)
-        place = F.when((reach <= len(bounds)) & (F.get(stored, reach - 1) <= F.col(key)), reach).otherwise(place)
-        step >>= 1
-    return place.cast("long")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+
+    def reach(place: F.Column, step: F.Column) -> F.Column:
+        next_ = place + step
+        return F.when((next_ <= len(bounds)) & (F.get(stored, next_ - 1) <= F.col(key)), next_).otherwise(place)
+
+    return F.aggregate(steps, F.lit(0), reach).cast("long")
 
 
 READ_SCHEMA = "part long, file long, doc_id long, at long, n_tokens long, ids_crc32 long"
