@@ -3,23 +3,80 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from newsloom.llm import dac, packing
-from newsloom.llm.common import table
+from newsloom.llm import chains, dac, langfilters, linespread, linkgraph, packing, phrases, ppm, superminhash, wumanber
+from newsloom.llm.common import remainder, table
 from newsloom.llm.encoding import public_vocabulary
 
 
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) != 2)
+
+
+def op2_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+def op3_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkgraph.judge(table(spark, sf_dir, "pages"))
+
+
+def op4_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op5_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wumanber.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linespread.remove_boilerplate(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), "text")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_vocabulary())
 
 
+def op8_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chains.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_addressable_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(dac.write_files(table(spark, sf_dir, "documents"), public_vocabulary()))
 
 
+def op10_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langfilters.predict(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 3) != 1)
+
+
 QUERIES = {
+    "op1_ppm": op1_ppm,
+    "op2_superminhash": op2_superminhash,
+    "op3_link_graph": op3_link_graph,
+    "op4_phrase_fingerprints": op4_phrase_fingerprints,
+    "op5_wu_manber": op5_wu_manber,
+    "op6_line_spread": op6_line_spread,
     "op7_packing": op7_packing,
+    "op8_classifier_chain": op8_classifier_chain,
     "op9_addressable_codes": op9_addressable_codes,
+    "op10_language_filters": op10_language_filters,
 }
 
-ORACLES: dict[str, str] = {}
+LINE_SPREAD = f"""
+WITH rows AS (SELECT doc_id, text, coalesce('=' || source, '') AS site, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, site, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM rows),
+spread AS (SELECT trim(line) AS line FROM lines WHERE trim(line) <> '' GROUP BY 1 HAVING count(DISTINCT site) >= {linespread.SITES}),
+marked AS (SELECT l.doc_id, l.pos, l.line, s.line IS NOT NULL AS gone FROM lines l LEFT JOIN spread s ON trim(l.line) = s.line),
+docs AS (
+  SELECT doc_id, count(*) FILTER (trim(line) <> '') AS n_lines,
+    2 * coalesce(sum(length(trim(line))) FILTER (gone), 0) <= sum(length(trim(line))) AS page,
+    count(*) FILTER (gone) AS n_gone, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS rest
+  FROM marked GROUP BY doc_id)
+SELECT r.doc_id, coalesce(d.n_lines, 0) AS n_lines, CASE WHEN d.page THEN d.n_gone ELSE 0 END AS n_removed,
+  CASE WHEN d.page AND d.n_gone > 0 THEN coalesce(d.rest, '') ELSE r.text END AS text
+FROM rows r LEFT JOIN docs d USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op6_line_spread": LINE_SPREAD}
