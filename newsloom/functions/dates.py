@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import unicodedata
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -59,6 +60,9 @@ BS_MONTH_LENGTHS = {
     2080: (31, 32, 31, 32, 31, 30, 30, 30, 29, 29, 30, 30),
     2081: (31, 32, 31, 32, 31, 30, 30, 30, 29, 30, 29, 31),
     2082: (31, 31, 32, 31, 31, 31, 30, 29, 30, 29, 30, 30),
+    2083: (31, 31, 32, 31, 31, 30, 30, 30, 29, 30, 30, 30),
+    2084: (31, 31, 32, 31, 31, 30, 30, 30, 29, 30, 30, 30),
+    2085: (31, 32, 31, 32, 30, 31, 30, 30, 29, 30, 30, 30),
 }
 
 # Every decimal digit of the basic plane, so that a number in any script reads as a number.
@@ -68,11 +72,23 @@ _ALL_VALUES = "".join(str(unicodedata.decimal(c)) for c in _ALL_DIGITS)
 
 @dataclass(frozen=True)
 class BSCalendar:
-    """Consecutive BS years. Give other ``lengths`` to cover other years."""
+    """Consecutive BS years. Give other ``lengths``, for instance by `from_rows`, to cover other years."""
 
     lengths: dict[int, tuple[int, ...]] = field(default_factory=lambda: dict(BS_MONTH_LENGTHS))
     first_day: datetime.date = BS_FIRST_DAY
 
+    @classmethod
+    def from_rows(cls, rows: Iterable[Sequence[int]], known_year: int = 2070, known_day: datetime.date = BS_FIRST_DAY) -> BSCalendar:
+        """A calendar from rows of a year and its twelve month lengths, hung up at the first day of a known year."""
+        lengths = {int(row[0]): tuple(int(days) for days in row[1:]) for row in rows}
+        years = sorted(lengths)
+        if not years or years != list(range(years[0], years[-1] + 1)) or any(len(m) != 12 for m in lengths.values()):
+            raise ValueError("a calendar needs consecutive years of twelve months")
+        if not years[0] <= known_year <= years[-1] + 1:
+            raise ValueError("the known year must be one of the calendar, or the next")
+        before = sum(sum(lengths[y]) for y in years if y < known_year)
+        return cls(lengths, known_day - datetime.timedelta(days=before))
+
     @property
     def first_year(self) -> int:
         return min(self.lengths)

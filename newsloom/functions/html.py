@@ -5,7 +5,6 @@ Tag and class names are parameters; the defaults are the page layout of the news
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
@@ -94,14 +93,42 @@ def drop_noise(html: Column) -> Column:
     return F.regexp_replace(html, _NOISE, _SEPARATOR)
 
 
-def _open_tag(tag: str, class_token: str | None) -> str:
-    if class_token is None:
-        return rf"(?i)<{tag}(?=[\s/>]){_ATTRIBUTES}>"
-    token = re.escape(class_token)
-    quoted = [rf"{q}(?:[^{q}>]*\s)?{token}(?:\s[^{q}>]*)?{q}" for q in ('"', "'")]
-    before = r"""(?:[^>"']|"[^"]*+"|'[^']*+')*?"""
-    has_class = rf"(?={before}\s(?i:class)\s*=\s*(?:{quoted[0]}|{quoted[1]}|{token}(?=[\s/>])))"
-    return rf"(?i:<{tag})(?=[\s/>]){has_class}{_ATTRIBUTES}>"
+# One attribute of a start tag: a name, and a value in either quotes or none. Possessive throughout, so its time is linear.
+_ATTRIBUTE = r"""[^\s"'<>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?"""
+
+
+def _has_class(start_tag: Column, token: str) -> Column:
+    attributes = F.regexp_extract_all(start_tag, F.lit(_ATTRIBUTE), F.lit(0))
+    value = lambda a: F.regexp_replace(a, r"""(?i)^class\s*+=\s*+["']?|["']$""", "")
+    return F.exists(attributes, lambda a: a.rlike(r"(?i)^class\s*+=") & F.array_contains(F.split(value(a), r"\s+", -1), token))
+
+
+def _after_start(html: Column, tag: str, class_token: str | None) -> Column:
+    """What follows the first start tag of that name, and of that class if one is named; null when there is none.
+
+    The page is cut before each start tag of the name; a tag is taken as a whole first, then its class is looked up.
+    """
+    pieces = F.split(html, rf"(?i)(?=<{tag}[\s/>])", -1)
+    start = rf"(?i)^<{tag}(?=[\s/>]){_ATTRIBUTES}>"
+
+    def rest(all_pieces: Column) -> Column:
+        def fits(piece: Column) -> Column:
+            found = F.regexp_extract(piece, start, 0)
+            return (found != "") & (F.lit(True) if class_token is None else let(found, lambda t: _has_class(t, class_token)))
+
+        first = F.array_min(F.transform(all_pieces, lambda piece, i: F.when(fits(piece), i)))
+        return let(
+            first,
+            lambda i: F.when(
+                i.isNotNull(),
+                F.concat(
+                    F.regexp_replace(F.get(all_pieces, i), start, ""),
+                    F.array_join(F.slice(all_pieces, i + 2, F.size(all_pieces)), ""),
+                ),
+            ),
+        )
+
+    return let(pieces, rest)
 
 
 def inner_html(html: Column, tag: str, class_token: str | None = None) -> Column:
@@ -110,7 +137,7 @@ def inner_html(html: Column, tag: str, class_token: str | None = None) -> Column
     The end is found by counting: the rest of the page is cut before each start or end tag of the same name,
     and the element ends where the running depth comes to zero. Without an end tag it runs to the end.
     """
-    after = F.split(html, _open_tag(tag, class_token), 2)
+    after = _after_start(html, tag, class_token)
 
     def close(rest: Column) -> Column:
         pieces = F.split(rest, rf"(?i)(?=</?{tag}[\s/>])", -1)
@@ -135,7 +162,7 @@ def inner_html(html: Column, tag: str, class_token: str | None = None) -> Column
             ),
         )
 
-    return let(after, lambda parts: F.when(F.size(parts) > 1, close(F.try_element_at(parts, F.lit(2)))))
+    return let(after, lambda rest: F.when(rest.isNotNull(), close(rest)))
 
 
 def paragraphs(region: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from newsloom.functions.dates import CALENDAR, NEPALI_MONTHS, BSCalendar, day_label, month_number, to_number
+from newsloom.functions.dates import CALENDAR, DAY_SUFFIX, NEPALI_MONTHS, BSCalendar, day_label, month_number, to_number
 from newsloom.functions.patterns import BLANK, DIGIT, WORD, let, rewrite_matches
 
 # Weekday names and time words with their English forms.
@@ -22,7 +22,8 @@ TIME_WORDS = {"गत": "last"}
 
 # Year - month - day with its suffix, month - day, day - month.
 YEAR_MONTH_DAY = f"({DIGIT}{{4}}){BLANK}*({WORD}+){BLANK}*({DIGIT}{{1,2}}){BLANK}*गते?"
-MONTH_DAY = f"({WORD}+){BLANK}*({DIGIT}{{1,2}})"
+# A word is tried from its first letter, or from where the last match ended, so a long run is read once.
+MONTH_DAY = f"(?:(?<!{WORD})|\\G)({WORD}+){BLANK}*({DIGIT}{{1,2}})"
 DAY_MONTH = f"({DIGIT}{{1,2}}){BLANK}*({WORD}+)"
 
 
@@ -56,6 +57,8 @@ def rename_time_words(col: Column, words: dict[str, str] | None = None, word_bou
 
 def _rewrite(col: Column, pattern: str, year, month: int, day: int, calendar: BSCalendar) -> Column:
     whole = f"^{pattern}\\z"
+    # Only this form needs the day suffix; without it in the text there is nothing to try.
+    needs = F.lit(True) if pattern != YEAR_MONTH_DAY else col.contains(DAY_SUFFIX[:-1])
 
     def label(match: Column) -> Column:
         number = to_number(F.regexp_extract(match, whole, year)) if isinstance(year, int) else year
@@ -68,7 +71,7 @@ def _rewrite(col: Column, pattern: str, year, month: int, day: int, calendar: BS
         )
 
     # A match changes only when it holds a month name, so a text without one is left out.
-    return let(col, lambda text: F.when(names_a_month(text), rewrite_matches(text, pattern, label)).otherwise(text))
+    return let(col, lambda text: F.when(names_a_month(text) & needs, rewrite_matches(text, pattern, label)).otherwise(text))
 
 
 def rewrite_year_month_day(col: Column, calendar: BSCalendar = CALENDAR) -> Column:

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsloom.functions.patterns import BLANK, strip
+from newsloom.functions.patterns import BLANK, let, strip
 from newsloom.operators.keyed import number_all, number_in_group, pack, spread
-from newsloom.session import materialize
+from newsloom.session import is_complete, materialize
 
 EXTRACT_INSTRUCTIONS = (
     "List the distinct events this news article reports, in the language of the article, as a JSON array of objects "
@@ -62,30 +62,57 @@ def infer(
     model: Callable[[pd.Series], pd.Series],
     calls_in_flight: int | None = None,
     store: bool = True,
+    work: str | None = None,
+    buckets: int = 16,
 ) -> DataFrame:
-    """Adds ``response`` by running ``model`` over Arrow batches of ``prompt``.
+    """Adds ``response`` and ``error`` by running ``model`` over Arrow batches of ``prompt``.
 
-    ``model`` maps a series of prompts to a series of responses. When a batch fails its prompts are tried one by one,
-    and a prompt that fails alone gets null. The result is written before use, since a plan may otherwise run the
-    calls again. ``calls_in_flight`` sets the number of parts, and so of calls at the same time.
+    ``model`` maps a series of prompts to a series of as many responses. A batch that fails is asked again in halves;
+    a prompt that fails alone gets a null response and the text of the failure. The result is written before use,
+    since a plan may otherwise run the calls again. ``calls_in_flight`` sets how many tasks call at the same time.
+
+    With ``work``, a folder that keeps its name over runs, prompts are answered bucket by bucket of their hash, and a
+    bucket that is written there already is not asked again: a run that broke off pays only for what was missing.
     """
-    source = prompts.repartition(calls_in_flight) if calls_in_flight else prompts
-    schema = T.StructType([*prompts.schema.fields, T.StructField("response", T.StringType(), True)])
+    schema = T.StructType(
+        [*prompts.schema.fields, T.StructField("response", T.StringType(), True), T.StructField("error", T.StringType(), True)]
+    )
 
-    def answer(batch: pd.Series) -> list:
+    def answer(batch: pd.Series) -> list[tuple]:
         try:
-            return list(model(batch))
-        except Exception:
+            found = list(model(batch))
+            if len(found) != len(batch):
+                raise ValueError(f"{len(found)} responses to {len(batch)} prompts")
+            return [(response, None) for response in found]
+        except Exception as failure:
             if len(batch) == 1:
-                return [None]
-            return [answer(batch.iloc[i : i + 1])[0] for i in range(len(batch))]
+                return [(None, f"{type(failure).__name__}: {failure}")]
+            half = len(batch) // 2
+            return answer(batch.iloc[:half]) + answer(batch.iloc[half:])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(response=answer(batch["prompt"]))
+            found = answer(batch["prompt"]) if len(batch) else []
+            yield batch.assign(response=[r for r, _ in found], error=[e for _, e in found])
+
+    def answered(rows: DataFrame) -> DataFrame:
+        return (rows.repartition(calls_in_flight) if calls_in_flight else rows).mapInPandas(run, schema)
 
-    answered = source.mapInPandas(run, schema)
-    return materialize(answered, "responses") if store else answered
+    if work is None:
+        return materialize(answered(prompts), "responses") if store else answered(prompts)
+    bucket = F.pmod(F.xxhash64("prompt"), F.lit(buckets))
+    for number in range(buckets):
+        path = f"{work}/bucket={number}"
+        if not is_complete(prompts.sparkSession, path):
+            answered(prompts.where(bucket == number)).write.mode("overwrite").parquet(path)
+    paths = [f"{work}/bucket={number}" for number in range(buckets)]
+    return prompts.sparkSession.read.schema(schema).parquet(*paths)
+
+
+def allow_repeated_keys(df: DataFrame) -> DataFrame:
+    """Lets JSON objects repeat a key, the last value standing, as most parsers do (a setting of the session)."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return df
 
 
 def _json(text: Column) -> Column:
@@ -151,7 +178,7 @@ def parse_event_responses(df: DataFrame, column: str = "response") -> DataFrame:
     A missing response is an empty list, a lone object a list of one. Text that is no JSON stays in ``raw_response``
     with ``parse_ok`` false and no entities; list items that are not objects are left out.
     """
-    rows = spread(df).withColumn("_v", _json(F.col(column)))
+    rows = spread(allow_repeated_keys(df)).withColumn("_v", _json(F.col(column)))
     items = F.coalesce(_list(F.col("_v")), F.when(F.col("_v").isNotNull(), F.array("_v")))
     rows = rows.withColumn("_items", F.filter(items, _is_object))
     ok = F.col("_items").isNotNull() | F.col(column).isNull()
@@ -174,13 +201,23 @@ def split_conforming(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
 def dictionary_rows(df: DataFrame, kind: str, column: str = "response") -> DataFrame:
     """``kind, canonical, variant, rank`` from JSON objects name -> list, in the order of the text.
 
-    A variant list that is a plain string is not a list of names and gives no rows. With a ``chunk`` column the
-    objects of the chunks follow each other.
+    A name that comes twice keeps its first place and its last list. A variant list that is a plain string is not a list
+    of names and gives no rows. With a ``chunk`` column the objects of the chunks follow each other.
+    What is no JSON object is in `dictionary_rejects`.
     """
-    text = F.when(F.try_parse_json(F.col(column)).isNotNull(), F.col(column))
+    df = allow_repeated_keys(df)
+    text = F.when(_is_object(F.try_parse_json(F.col(column))), F.col(column))
     pairs = F.from_json(text, "map<string,string>", {"mode": "PERMISSIVE"})
     chunk = F.col("chunk") if "chunk" in df.columns else F.lit(0)
-    entries = df.select(chunk.cast("bigint").alias("_chunk"), F.posexplode(F.map_entries(pairs)).alias("_i", "_e"))
+
+    def last_of_each(entries: Column) -> Column:
+        names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        last = F.transform(names, lambda name: F.element_at(F.filter(entries, lambda e: e["key"] == name), -1))
+        return F.when(F.size(names) < F.size(entries), last).otherwise(entries)
+
+    entries = df.select(
+        chunk.cast("bigint").alias("_chunk"), F.posexplode(let(F.map_entries(pairs), last_of_each)).alias("_i", "_e")
+    )
     names = F.when(F.col("_e.value").startswith("["), F.from_json("_e.value", "array<string>"))
     rows = entries.select("_chunk", "_i", F.col("_e.key").alias("canonical"), F.explode(names).alias("variant"))
     rank = F.shiftleft("_chunk", 32) + F.col("_i")
@@ -189,6 +226,12 @@ def dictionary_rows(df: DataFrame, kind: str, column: str = "response") -> DataF
     )
 
 
+def dictionary_rejects(df: DataFrame, column: str = "response") -> DataFrame:
+    """The rows whose text is there but is no JSON object."""
+    good = F.coalesce(_is_object(F.try_parse_json(F.col(column))), F.lit(False))
+    return allow_repeated_keys(df).where(F.col(column).isNotNull() & ~good)
+
+
 def latest_dictionary(new: DataFrame, last_good: DataFrame) -> DataFrame:
     """The new dictionary, with the entries of the last good one for variants the new one lacks.
 
@@ -199,33 +242,40 @@ def latest_dictionary(new: DataFrame, last_good: DataFrame) -> DataFrame:
     return new.unionByName(kept.withColumn("rank", F.col("rank") + shift))
 
 
-MERGED_ITEMS = "array<struct<event:string,details:string,actors:array<string>,source_event_indices:array<string>>>"
-
-
 def parse_merge_responses(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``event_date, chunk, response`` into (merged events, rejects).
 
     Merged events are flat: ``event_date, merged_id, event, details, actors, members``, with ``merged_id`` = 1..n
-    per date over its chunks. Dates whose response is missing or no JSON list are the rejects.
+    per date over its chunks. Rejects are the rows whose response is missing or no JSON list, and, one row each with
+    its text as ``response``, the items of a list that are no objects. A lone name counts as a list of one.
     """
-    rows = responses.withColumn(
-        "_items", F.from_json(F.when(_list(_json(F.col("response"))).isNotNull(), F.col("response")), MERGED_ITEMS)
-    )
-    rejects = rows.where(F.col("_items").isNull()).drop("_items")
-    flat = rows.where(F.col("_items").isNotNull()).select(
-        "event_date", "chunk", F.posexplode("_items").alias("_i", "_e")
-    )
-    flat = flat.where(F.col("_e").isNotNull()).withColumn("_pos", F.shiftleft("chunk", 32) + F.col("_i"))
-    numbered = number_in_group(flat, ["event_date"], ["_pos"], "merged_id", chunk_bits=32)
-    good = numbered.select(
+    rows = allow_repeated_keys(responses).withColumn("_items", _list(_json(F.col("response"))))
+    unread = rows.where(F.col("_items").isNull()).drop("_items")
+    items = rows.where(F.col("_items").isNotNull()).select("event_date", "chunk", F.posexplode("_items").alias("_i", "_e"))
+    good_item = F.coalesce(_is_object(F.col("_e")), F.lit(False))
+    odd = items.where(~good_item).select("event_date", "chunk", F.coalesce(F.to_json("_e"), F.lit("null")).alias("response"))
+    rejects = unread.unionByName(odd, allowMissingColumns=True)
+    flat = items.where(good_item).withColumn("_pos", F.shiftleft("chunk", 32) + F.col("_i"))
+
+    def raw(name: str) -> Column:
+        return F.try_variant_get("_e", f"$.{name}", "variant")
+
+    flat = flat.select(
         "event_date",
-        "merged_id",
-        "_e.event",
-        "_e.details",
-        "_e.actors",
-        F.col("_e.source_event_indices").alias("members"),
+        "_pos",
+        F.try_variant_get("_e", "$.event", "string").alias("event"),
+        F.try_variant_get("_e", "$.details", "string").alias("details"),
+        _names(raw("actors")).alias("actors"),
+        _members(raw("source_event_indices")).alias("members"),
     )
-    return good, rejects
+    numbered = number_in_group(flat, ["event_date"], ["_pos"], "merged_id", chunk_bits=32)
+    return numbered.select("event_date", "merged_id", "event", "details", "actors", "members"), rejects
+
+
+def _members(value: Column) -> Column:
+    """Ids of a list or a lone id, as text, numbers included."""
+    items = F.coalesce(_list(value), F.when(value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(True)), F.array(value)))
+    return F.filter(F.transform(items, _text), lambda x: x.isNotNull())
 
 
 def merge_parts(merged: DataFrame) -> dict[str, DataFrame]:

@@ -281,7 +281,8 @@ ORACLES = {
         r AS (SELECT value, row_number() OVER (ORDER BY value) AS n FROM v)
         SELECT (n - 1) // 40 AS chunk, 'Unify names.' || chr(10) || string_agg(value, chr(10) ORDER BY n) AS prompt FROM r GROUP BY 1""",
     "infer_stage": """SELECT event_id, 'p' || event_id AS prompt,
-        CASE WHEN contains('p' || event_id, '66') THEN NULL ELSE '[p' || event_id || ']' END AS response FROM events""",
+        CASE WHEN contains('p' || event_id, '66') THEN NULL ELSE '[p' || event_id || ']' END AS response,
+        CASE WHEN contains('p' || event_id, '66') THEN 'RuntimeError: prompt refused' END AS error FROM events""",
     "merge_responses": f"""WITH {ENT}, p AS (SELECT event_date, (n - 1) // 2 AS pair, string_agg(n, '|' ORDER BY n) AS members FROM dated
             WHERE event_date <> '2024-01-05' GROUP BY 1, 2)
         SELECT event_date, row_number() OVER (PARTITION BY event_date ORDER BY pair) AS merged_id, 'pair' AS event, members FROM p

@@ -86,17 +86,17 @@ def star_join(spark, sf):
 
 @query
 def graph_role_counts(spark, sf):
-    return graph.role_counts(graph.build_nodes(graph.star_join(a.star(spark, sf), a.DATE_FROM)))
+    return graph.role_counts(graph.graph_nodes(a.star(spark, sf), a.DATE_FROM))
 
 
 @query
 def graph_nodes(spark, sf):
-    return graph.build_nodes(graph.star_join(a.star(spark, sf), a.DATE_FROM))
+    return graph.graph_nodes(a.star(spark, sf), a.DATE_FROM)
 
 
 @query
 def graph_edges(spark, sf):
-    return graph.build_edges(graph.star_join(a.star(spark, sf), a.DATE_FROM))
+    return graph.graph_edges(a.star(spark, sf), a.DATE_FROM)
 
 
 @query
@@ -574,9 +574,7 @@ def sink_star(spark, sf):
     tables = starry.build_star(merged_parts(spark, sf), a.user_aliases(spark, sf))
     writers.write_star({name: t for name, t in tables.items() if name != "rejected_sources"}, path)
     back = readers.read_star(spark, path)
-    nodes = graph.build_nodes(graph.star_join(back, "2024-01-10"))
-    edges = graph.build_edges(graph.star_join(back, "2024-01-10"))
-    return graph.graph_counts(nodes, edges)
+    return graph.graph_counts(graph.graph_nodes(back, "2024-01-10"), graph.graph_edges(back, "2024-01-10"))
 
 
 @query

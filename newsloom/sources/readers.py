@@ -12,7 +12,9 @@ from newsloom.operators.keyed import broadcast_limit, estimated_bytes, number_al
 
 
 def _in_file_order(df: DataFrame, dense: bool) -> DataFrame:
-    """Adds ``pos``, rising in file order; dense numbers cost one range shuffle."""
+    """Adds ``pos``. Dense numbers rise in the order of file names and places in a file, and cost one range shuffle;
+    others are only distinct, since Spark packs large files first.
+    """
     if not dense:
         return df.withColumn("pos", F.monotonically_increasing_id())
     place = df.select(
@@ -25,7 +27,7 @@ def _in_file_order(df: DataFrame, dense: bool) -> DataFrame:
     return numbered.withColumn("pos", F.col("pos") - 1).drop("_file", "_start", "_place")
 
 
-def read_urls(spark: SparkSession, path: str, dense: bool = False) -> DataFrame:
+def read_urls(spark: SparkSession, path: str, dense: bool = True) -> DataFrame:
     """CSV with a header and a column ``url`` -> ``url, pos``."""
     return _in_file_order(spark.read.schema(schemas.URLS).csv(path, header=True), dense)
 
@@ -56,7 +58,7 @@ def attach_extracted(urls: DataFrame, pages: DataFrame, layout: PageLayout = LAY
     return urls.join(read, "url", "left").withColumns({c: F.coalesce(c, F.lit("")) for c in fields})
 
 
-def read_articles(spark: SparkSession, path: str, lines: bool = False, dense: bool = False) -> DataFrame:
+def read_articles(spark: SparkSession, path: str, lines: bool = False, dense: bool = True) -> DataFrame:
     """Articles from a JSON array file, or from JSON lines, which can be split and so suit large inputs.
 
     ``entities`` comes as JSON text for `parse_event_responses`.

@@ -38,7 +38,9 @@ def write_dated_events(dated: DataFrame, path: str, form: str = "parquet") -> No
     """
     rows = dated.withColumn("_n", F.col("id").cast("bigint")).hint("rebalance", "event_date")
     rows = rows.sortWithinPartitions("event_date", "_n").drop("_n")
-    rows.write.mode("overwrite").partitionBy("event_date").format(form).save(path)
+    # A date that is gone goes with the rest, whatever the session's mode is.
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("event_date").format(form).save(path)
 
 
 def write_grouped_events(dated: DataFrame, path: str, size: int = 10_000) -> None:
@@ -63,14 +65,18 @@ def unfinished(dated: DataFrame, path: str) -> DataFrame:
     return dated.join(done, "event_date", "left_anti")
 
 
-def write_by_date(dated: DataFrame, path: str, stage: Callable[[DataFrame], DataFrame]) -> None:
+def write_by_date(dated: DataFrame, path: str, stage: Callable[[DataFrame], DataFrame], dates_per_job: int = 16) -> None:
     """Runs ``stage`` over the dates not finished yet and adds their folders; finished dates stay as they are.
 
-    Only the dates written are replaced, so a run that broke off goes on where it stopped.
+    Dates are worked on in order, ``dates_per_job`` at a time, and each job adds its folders when it ends. So a run that
+    broke off goes on after the last job that ended. Only dates, a short list, come to the driver.
     """
-    out = stage(unfinished(dated, path))
-    writer = out.hint("rebalance", "event_date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("event_date").parquet(path)
+    left = unfinished(dated, path).where(F.col("event_date").isNotNull()).select("event_date").distinct().orderBy("event_date")
+    dates = [row.event_date for row in left.toLocalIterator()]
+    for start in range(0, max(1, len(dates)), dates_per_job):
+        some = dated.where(F.col("event_date").isin(dates[start : start + dates_per_job]))
+        writer = stage(some).hint("rebalance", "event_date").write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
 
 
 def write_star(star: dict[str, DataFrame], base: str) -> None:

@@ -35,7 +35,9 @@ def append(articles: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def append_once(articles: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Appends each ``id`` once whatever its delay, to a table with one folder per day.
+    """Appends each ``id`` once per day of its time, whatever its delay, to a table with one folder per day.
+
+    The rule is the same inside a batch and between batches, so the result does not depend on where batches end.
 
     A batch is compared with the stored rows of its own days only; a replay carries the same time and so the same
     day. A batch that runs again finds its rows stored and adds none.
@@ -44,7 +46,7 @@ def append_once(articles: DataFrame, path: str, checkpoint: str) -> StreamingQue
     def store(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         day = F.coalesce(F.date_format("timestamp", "yyyy-MM-dd"), F.lit("none"))
-        rows = batch.dropDuplicates(["id"]).withColumn("day", day)
+        rows = batch.withColumn("day", day).dropDuplicates(["id", "day"])
         location = spark._jvm.org.apache.hadoop.fs.Path(path)
         if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
             # The days of one batch are a short list; with it only their folders are read, not the whole history.

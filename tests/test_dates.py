@@ -18,7 +18,7 @@ def test_calendar_years_follow_each_other():
     first_days = {2077: "2020-04-13", 2078: "2021-04-14", 2079: "2022-04-14", 2080: "2023-04-14", 2081: "2024-04-13", 2082: "2025-04-14"}
     for year, first in first_days.items():
         assert starts[(year - dates.CALENDAR.first_year) * 12] == datetime.date.fromisoformat(first)
-    assert starts[-1] == datetime.date(2026, 4, 14)
+    assert starts[(2083 - dates.CALENDAR.first_year) * 12] == datetime.date(2026, 4, 14)
     assert all(sum(lengths) in (365, 366) and len(lengths) == 12 for lengths in dates.BS_MONTH_LENGTHS.values())
 
 
@@ -81,3 +81,12 @@ def test_other_calendar(spark):
     short = dates.BSCalendar({2081: dates.BS_MONTH_LENGTHS[2081]}, datetime.date(2024, 4, 13))
     df = spark.createDataFrame([("२०८१ चैत्र ३१",), ("२०८२ बैशाख १",)], "x string")
     assert rows(df.select(dates.gregorian_date(F.col("x"), short).cast("string"))) == [("2025-04-13",), (None,)]
+
+
+def test_calendar_years():
+    calendar = dates.BSCalendar()
+    starts = calendar.month_starts()
+    new_year = {y: starts[12 * (y - calendar.first_year)] for y in calendar.lengths}
+    assert [new_year[y] for y in (2070, 2082, 2083)] == [datetime.date(2013, 4, 14), datetime.date(2025, 4, 14), datetime.date(2026, 4, 14)]
+    older = dates.BSCalendar.from_rows([(2069, 31, 32, 31, 32, 31, 30, 30, 30, 29, 29, 30, 31), (2070, *calendar.lengths[2070])])
+    assert older.first_day == datetime.date(2012, 4, 13) and older.first_year == 2069

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from newsloom.operators import grouping
@@ -68,7 +70,13 @@ def test_a_run_that_broke_off_goes_on(spark, tmp_path):
 
         return work
 
-    writers.write_by_date(dated.where("event_date = '2024-01-01'"), path, stage("first"))
+    def breaks_off(df):
+        if df.where("event_date = '2024-01-02'").count():
+            raise RuntimeError("out of credit")
+        return stage("first")(df)
+
+    with pytest.raises(RuntimeError):
+        writers.write_by_date(dated, path, breaks_off, dates_per_job=1)
     writers.write_by_date(dated, path, stage("second"))
     writers.write_by_date(dated, path, stage("third"))
     assert seen == [[("2024-01-01",)], [("2024-01-02",)], []]
@@ -93,3 +101,15 @@ def test_log_stream(spark, tmp_path):
     once, once_state = str(tmp_path / "once"), str(tmp_path / "once-state")
     ingest.append(ingest.once_per_id(stream(), "3650 days"), once, once_state).awaitTermination()
     assert rows(spark.read.parquet(once).select("id")) == [("a",), ("b",), ("c",)]
+
+
+def test_dates_that_are_gone_leave_the_table(spark, tmp_path):
+    path = str(tmp_path / "gone")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for dates in (("2024-01-01", "2024-01-02"), ("2024-01-02",)):
+            df = spark.createDataFrame([(d, "1") for d in dates], "event_date string, id string")
+            writers.write_dated_events(df, path)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(spark.read.parquet(path).select(F.col("event_date").cast("string"))) == [("2024-01-02",)]

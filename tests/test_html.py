@@ -55,3 +55,18 @@ def test_decode(spark):
     assert df.select(decode_utf8(F.col("b"))).first()[0] == "नेपाल�"
     df = spark.createDataFrame([("&amp;amp; &#38;lt; &#xD800; &#1114112;",)], "s string")
     assert df.select(decode_entities(F.col("s"))).first()[0] == "&amp; &lt; &#xD800; &#1114112;"
+
+
+def test_huge_tags_do_not_end_the_executor(spark):
+    long = 'data-x="' + "y" * 1_000_000 + '"'
+    bare = "z" * 1_000_000
+    assert page(spark, f'<h1 {long} class="entry-title">A</h1>{DATE}') == ("A", "2024-06-01", "")
+    assert page(spark, f"<h1 {bare}>no</h1>{H1}{BODY}") == ("A Title", "", "One\nTwo")
+    assert page(spark, f'<div class="unclosed {bare}{H1}')[0] == "A Title"
+    many = " ".join(f"a{i}=b" for i in range(50_000))
+    assert page(spark, f'<h1 {many} class="x entry-title">B</h1>')[0] == "B"
+
+
+def test_class_is_read_from_its_own_attribute(spark):
+    html = "<h1 title=' class=\"entry-title\"'>no</h1><h1 data-class='entry-title'>no</h1><h1 class = 'a entry-title'>yes</h1>"
+    assert page(spark, html)[0] == "yes"

@@ -40,7 +40,8 @@ def test_infer_keeps_rows_of_failed_calls(spark):
         return prompts.str.upper()
 
     df = spark.createDataFrame([(1, "a"), (2, "bad"), (3, "c")], "pos long, prompt string").coalesce(1)
-    assert rows(inference.infer(df, model)) == [(1, "a", "A"), (2, "bad", None), (3, "c", "C")]
+    expected = [(1, "a", "A", None), (2, "bad", None, "RuntimeError: refused"), (3, "c", "C", None)]
+    assert rows(inference.infer(df, model)) == expected
     assert inference.infer(df, model, calls_in_flight=3, store=False).rdd.getNumPartitions() == 3
 
 
@@ -74,3 +75,47 @@ def test_merge_responses(spark):
     assert rows(bad.select("event_date")) == [("2024-01-02",), ("2024-01-03",)]
     parts = inference.merge_parts(good)
     assert parts["members"].count() == 6 and parts["actors"].count() == 3
+
+
+def test_infer_goes_on_where_it_broke_off(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(40)], "pos long, prompt string")
+    asked, broken = tmp_path / "asked", tmp_path / "broken"
+    asked.mkdir(), broken.mkdir()
+
+    def model(prompts):
+        import uuid
+
+        if len(list(asked.iterdir())) >= 10 and not (broken / "once").exists():
+            (broken / "once").write_text("")
+            raise SystemExit("worker lost")
+        for prompt in prompts:
+            (asked / f"{prompt}-{uuid.uuid4().hex}").write_text("")
+        return prompts.str.upper()
+
+    work = str(tmp_path / "work")
+    with pytest.raises(Exception):  # noqa: B017
+        inference.infer(df, model, work=work, buckets=8, calls_in_flight=1)
+    before = len(list(asked.iterdir()))
+    assert rows(inference.infer(df, model, work=work, buckets=8, calls_in_flight=1).select("pos", "response")) == rows(
+        df.selectExpr("pos", "upper(prompt)")
+    )
+    assert 10 <= before < 40 and len(list(asked.iterdir())) == 40
+
+
+def test_wrong_number_of_responses(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "pos long, prompt string").coalesce(1)
+    got = inference.infer(df, lambda prompts: prompts.iloc[:0])
+    assert rows(got.select("pos", "response", "error")) == [(i, None, "ValueError: 0 responses to 1 prompts") for i in (1, 2)]
+
+
+def test_repeated_keys_and_odd_items(spark):
+    df = spark.createDataFrame([('{"A": ["x"], "A": ["y"], "B": ["z"]}',), ("no json",), ("[1]",), (None,)], "response string")
+    assert rows(inference.dictionary_rows(df, "actor").drop("kind")) == [("A", "y", 0), ("B", "z", 1)]
+    assert rows(inference.dictionary_rejects(df)) == [("[1]",), ("no json",)]
+    event = spark.createDataFrame([(0, '[{"event": "a", "event": "b"}]')], "pos long, response string")
+    parsed = inference.parse_event_responses(event).first()
+    assert parsed.parse_ok and parsed.entities[0].event == "b"
+    data = [("2024-01-01", 0, '[null, 7, {"event": "M", "actors": "Ana", "source_event_indices": 3}]')]
+    good, bad = inference.parse_merge_responses(spark.createDataFrame(data, "event_date string, chunk long, response string"))
+    assert rows(good.select("event", "actors", "members")) == [("M", ["Ana"], ["3"])]
+    assert rows(bad.select("response")) == [("7",), ("null",)]

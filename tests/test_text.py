@@ -60,3 +60,14 @@ def test_word_boundary_and_other_words(spark):
     df = spark.createDataFrame([("गत गतेको",)], "s string")
     assert df.select(text.rename_time_words(F.col("s"), word_boundary=True)).first()[0] == "last गतेको"
     assert df.select(text.rename_time_words(F.col("s"), {"गतेको": "of"})).first()[0] == "गत of"
+
+
+def test_a_run_without_blanks_is_read_once(spark):
+    import time
+
+    run = "क" * 1_000_000
+    df = spark.createDataFrame([(f"जेठ 5 {run} गते",)], "t string")
+    spark.range(1).count()
+    start = time.perf_counter()
+    got = df.select(text.rewrite_dates(F.col("t"), 2080)).first()[0]
+    assert time.perf_counter() - start < 20 and got.endswith(run + " गते") and not got.startswith("जेठ")
