@@ -15,7 +15,7 @@ from newsloom.llm.wumanber import words_of
 from newsloom.session import materialize
 
 #: Labelled rows a chain is fitted on, at most: SAMPLE of each value of the last category, those with the least hash.
-SAMPLE = 8_000
+SAMPLE = 4_000
 #: Pieces a linear model may weigh, those most clearly tied to its category.
 PIECES = 400
 #: Rows of the fitting sample that must hold a piece.

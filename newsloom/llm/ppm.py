@@ -19,7 +19,7 @@ from newsloom.session import materialize
 #: Longest context, in bytes. A context and its next byte fit into one 64-bit number.
 ORDER = 6
 #: A trie node is kept if at least one in 2**KEEP_BITS of all symbols passes it, so a level has at most 2**KEEP_BITS nodes.
-KEEP_BITS = 20
+KEEP_BITS = 22
 #: A word is frequent if it is at least one in 2**WORD_BITS of all tokens, so there are at most 2**WORD_BITS of them.
 WORD_BITS = 19
 #: Stands before and behind a text; UTF-8 has no such byte.
@@ -167,8 +167,8 @@ def weights(levels: list[Level], total: int) -> dict:
             entry = {
                 "keys": level.keys,
                 "contexts": level.contexts,
-                "log_n": np.log(level.counts - 0.5),
-                "top": np.log((level.counts - 0.5) / level.totals[level.parent]),
+                "log_n": np.log(level.counts - 0.5).astype(np.float32),
+                "top": np.log((level.counts - 0.5) / level.totals[level.parent]).astype(np.float32),
                 "escape": np.log((rest + level.kinds / 2) / level.totals),
                 "below_total": np.zeros(0),
                 "below_escape": np.zeros(0),
@@ -189,10 +189,10 @@ def weights(levels: list[Level], total: int) -> dict:
 
 
 class Lookup:
-    """Positions of 64-bit keys by open addressing; at most a quarter of the slots is taken."""
+    """Positions of 64-bit keys by open addressing; at most half of the slots is taken."""
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, int(4 * max(1, len(keys)) - 1).bit_length())
+        bits = max(4, (2 * len(keys)).bit_length())
         self._shift, self._mask = U64(64 - bits), (1 << bits) - 1
         self._keys = np.zeros(1 << bits, U64)
         self._place = np.full(1 << bits, -1, np.int32)
