@@ -168,9 +168,10 @@ def near_duplicates(
     Two documents are linked if their sets of ``words``-word shingles have ``100 * intersection >= percent * union``;
     ``component_id`` is the smallest key that links reach. Rows of equal sets are one class from the start. Candidates
     are classes that share a band of their SuperMinHash; a bucket's members are compared with its head, then, as long
-    as a bucket holds members of several components, with 32 more heads, then 64 and so on, each once. So a group of
-    like members costs one pair per member, and no candidate pair of different components stays unseen. All links
-    are confirmed on whole sets.
+    as a bucket holds members of several components, with 32 more heads, then 64 and so on, each once. Members that have
+    too many shingles of their own to be like anyone leave before. So a group of like members costs one pair per
+    member, and no candidate pair of different components that could be a link stays unseen. All links are confirmed
+    on whole sets.
     Null, empty and blank texts have no set and are linked with nothing. A row with a null key is linked with nothing:
     its ``component_id`` is null and it is kept. Rows that repeat a key are one document. Other columns are not read.
     """
@@ -200,41 +201,46 @@ def near_duplicates(
 
 def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame | None:
     """``(_node, component)`` of the nodes that have a link; None if there is none."""
-    # A bucket of one member leaves at once; what is left is written, with its head.
-    heads = buckets.groupBy("_band").agg(
-        F.min(F.struct(_order(F.col("_node")).alias("o"), F.col("_node").alias("node"), F.col("_n").alias("n"))).alias("_head"),
-        F.max("_node").alias("_most"), F.min("_node").alias("_least"), F.count(F.lit(1)).alias("_rows"),
-    )
-    heads = materialize(heads.where("_most > _least").drop("_most", "_least"), "heads")
-    open_ = materialize(buckets.join(heads.select("_band", "_head", "_rows"), "_band"), "buckets")
+    # A bucket of one member leaves at once. Of the rest, a node weighs as much as the buckets it is in: the text that a
+    # group's copies were made from is in the largest bucket of every band, and so heads them all.
+    sizes = buckets.groupBy("_band").agg(F.min("_node").alias("_least"), F.max("_node").alias("_most"), F.count(F.lit(1)).alias("_rows"))
+    open_ = materialize(buckets.join(sizes.where("_least < _most").select("_band", "_rows"), "_band"), "buckets")
     if open_.isEmpty():
         return None
-    nodes = open_.select("_node").distinct()
-    sets = materialize(full_sets(rows.join(nodes, "_node", "left_semi"), words).dropDuplicates(["_node"]), "sets")
-
-    # First, each member is compared with one head only: the foremost of its buckets.
-    fitting = open_.where(_alike(F.col("_n"), F.col("_head.n"), percent) & (F.col("_head.node") != F.col("_node")))
-    first = fitting.groupBy("_node").agg(F.min("_head").alias("_head"))
+    weights = open_.groupBy("_node").agg(F.sum("_rows").alias("_w"))
+    members = materialize(open_.drop("_rows").join(weights, "_node").select("_band", "_node", "_n", "_w"), "members")
+    sets = materialize(full_sets(rows.join(weights.select("_node"), "_node", "left_semi"), words).dropDuplicates(["_node"]), "sets")
+
+    # First, each member is compared with one head only: the weightiest of its buckets.
+    place = F.struct(F.col("_w"), _order(F.col("_node")).alias("o"), F.col("_node").alias("node"), F.col("_n").alias("n"))
+    heads = members.groupBy("_band").agg(F.max(place).alias("_head"))
+    fitting = members.join(heads, "_band").where(_alike(F.col("_n"), F.col("_head.n"), percent) & (F.col("_head.node") != F.col("_node")))
+    first = fitting.groupBy("_node").agg(F.max("_head").alias("_head"))
     pairs = first.select(F.least("_node", "_head.node").alias("_a"), F.greatest("_node", "_head.node").alias("_b")).distinct()
     tested = materialize(pairs, "pairs")
     links = materialize(linked_pairs(tested, sets, percent), "links")
     labels = _components(links)
 
-    members = open_.select("_band", "_node", "_n")
     count = 32
     while True:
-        # Buckets that hold more than one component stay.
-        named = _named(members, labels)
-        mixed_ = named.groupBy("_band").agg(F.min("_component").alias("_x"), F.max("_component").alias("_y"))
-        named = named.join(mixed_.where("_x < _y").select("_band"), "_band", "left_semi")
-        ranked = Window.partitionBy("_band").orderBy(_order(F.col("_node")), "_node")
-        heads = named.withColumn("_place", F.row_number().over(ranked)).where(F.col("_place") <= count)
-        named, heads = materialize(named, "members"), materialize(heads, "heads")
+        # Buckets that hold more than one component stay, without the members that can have no link there.
+        named = materialize(_unsettled(_named(members, labels)), "members")
         if named.isEmpty():
             return labels
-        head = heads.select("_band", F.col("_node").alias("_h"), F.col("_n").alias("_hn"), F.col("_component").alias("_hc"))
-        met = named.join(head, "_band").where((F.col("_component") != F.col("_hc")) & _alike(F.col("_n"), F.col("_hn"), percent))
-        pairs = met.select(F.least("_node", "_h").alias("_a"), F.greatest("_node", "_h").alias("_b")).distinct()
+        named = materialize(_unsettled(_possible(named, sets, percent)), "members")
+        if named.isEmpty():
+            return labels
+        ranked = Window.partitionBy("_band").orderBy(F.desc("_w"), _order(F.col("_node")), "_node")
+        heads = materialize(named.withColumn("_place", F.row_number().over(ranked)).where(F.col("_place") <= count), "heads")
+        head = heads.select("_band", *[F.col(c).alias("_head" + c) for c in ("_node", "_n", "_common", "_component")])
+        common = F.least("_common", "_head_common")
+        meets = (
+            (named["_band"] == head["_band"])
+            & (F.col("_component") != F.col("_head_component"))
+            & (common * 100 >= (F.col("_n") + F.col("_head_n") - common) * percent)
+        )
+        met = named.join(head, meets)
+        pairs = met.select(F.least("_node", "_head_node").alias("_a"), F.greatest("_node", "_head_node").alias("_b")).distinct()
         pairs = materialize(pairs.join(tested, ["_a", "_b"], "left_anti"), "pairs")
         more = materialize(linked_pairs(pairs, sets, percent), "links")
         if not more.isEmpty():
@@ -242,14 +248,38 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
             labels = _components(links)
         tested = tested.unionByName(pairs)
         # The heads have met all members of their buckets.
-        members = named.select("_band", "_node", "_n").join(heads.select("_band", "_node"), ["_band", "_node"], "left_anti")
+        members = named.join(heads.select("_band", "_node"), ["_band", "_node"], "left_anti").select("_band", "_node", "_n", "_w")
         count *= 2
 
 
+def _unsettled(named: DataFrame) -> DataFrame:
+    """The rows of buckets whose members belong to more than one component."""
+    bands = named.groupBy("_band").agg(F.min("_component").alias("_x"), F.max("_component").alias("_y")).where("_x < _y")
+    return named.join(bands.select("_band"), "_band", "left_semi")
+
+
+def _possible(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The members that may still have a link, with ``_common``: how many shingles of the set are in any other set here.
+
+    A link shares common shingles only, so ``common / (n + m - common)`` bounds the likeness to a set of ``m``; the
+    smallest set of the bucket, but no smaller than the common part, gives the largest bound. Copies with many changes of
+    their own leave here, without being compared with anyone.
+    """
+    nodes = named.select("_node").distinct()
+    single = sets.join(nodes, "_node", "left_semi").select("_node", F.explode("_set").alias("_shingle")).groupBy("_shingle")
+    single = single.agg(F.count(F.lit(1)).alias("_times"), F.min("_node").alias("_node")).where("_times = 1")
+    own = single.groupBy("_node").agg(F.count(F.lit(1)).alias("_own"))
+    least = named.groupBy("_band").agg(F.min("_n").alias("_smallest"))
+    found = named.join(own, "_node", "left").join(least, "_band").withColumn("_common", F.col("_n") - F.coalesce("_own", F.lit(0)))
+    union = F.col("_n") + F.greatest("_smallest", "_common") - F.col("_common")
+    return found.where(F.col("_common") * 100 >= union * percent).drop("_own", "_smallest")
+
+
 def _components(links: DataFrame) -> DataFrame:
     found = connected_components(links.select(F.col("_a").alias("src"), F.col("_b").alias("dst")))
     return materialize(found.select(F.col("node").alias("_node"), "component"), "labels")
 
 
 def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return members.join(labels, "_node", "left").select("_band", "_node", "_n", F.coalesce("component", "_node").alias("_component"))
+    found = members.drop("_component").join(labels, "_node", "left")
+    return found.select("_band", "_node", "_n", "_w", F.coalesce("component", "_node").alias("_component"))
