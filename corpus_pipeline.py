@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom.llm import langfilters, linespread, packing, superminhash, wumanber
-from newsloom.llm.common import table
+from newsloom.llm.common import free_name, table
 from newsloom.llm.encoding import public_vocabulary
 from newsloom.session import materialize, ship_package
 
@@ -28,8 +28,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes boilerplate lines out of the texts; every row stays. ``n_chars`` follows the text where a line went."""
-    cleaned = linespread.remove_boilerplate(docs)
-    n_chars = F.when(F.col("_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars")
+    counts = free_name(docs, "_lines"), free_name(docs, "_removed")
+    cleaned = linespread.remove_boilerplate(docs, counts=counts)
+    n_chars = F.when(F.col(counts[1]) > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars")
     return cleaned.select(*[n_chars if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import Memo, bounded_batches, chunks, text_bytes
+from newsloom.llm.common import Memo, bounded_batches, chunks, keyed_schema, text_bytes
 from newsloom.llm.wumanber import words_of
 from newsloom.session import materialize
 
@@ -212,6 +212,5 @@ def toxicity(
             columns = [batch.column("_key"), *[pa.array(p.astype(float)) for p in found], pa.array(found[-1] >= least)]
             yield pa.RecordBatch.from_arrays(columns, names=["_key", *names, categories[-1]])
 
-    kind = rows.schema["_key"].dataType.simpleString()
-    schema = f"_key {kind}, " + ", ".join(f"{n} double" for n in names) + f", {categories[-1]} boolean"
+    schema = keyed_schema(rows, ", ".join([f"{n} double" for n in names] + [f"{categories[-1]} boolean"]))
     return rows.mapInArrow(run, schema).withColumnRenamed("_key", key)

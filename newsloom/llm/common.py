@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 U64 = np.uint64
 GOLDEN = U64(0x9E3779B97F4A7C15)
@@ -76,6 +77,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
+def keyed_schema(rows: DataFrame, columns: str, key: str = "_key") -> T.StructType:
+    """The type of the key, whatever it is, followed by ``name type, name type, ...``."""
+    return T.StructType([T.StructField(key, rows.schema[key].dataType), *T.StructType.fromDDL(columns).fields])
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as no column has."""
+    while name in df.columns:
+        name = "_" + name
+    return name
+
+
 def lists(offsets: np.ndarray, values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import GOLDEN, U64, bounded_batches, mixed
+from newsloom.llm.common import GOLDEN, U64, bounded_batches, keyed_schema, mixed
 from newsloom.session import materialize
 
 #: Letters and blanks of one n-gram.
@@ -200,5 +200,5 @@ def predict(
             columns = [batch.column("_key"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=["_key", "held_out", "lang_pred", "score"])
 
-    kind = rows.schema["_key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_key {kind}, held_out boolean, lang_pred string, score double").withColumnRenamed("_key", key)
+    schema = keyed_schema(rows, "held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(run, schema).withColumnRenamed("_key", key)

@@ -36,9 +36,16 @@ def spread_lines(lines: DataFrame, sites: int = SITES, near: float = NEAR) -> Da
 
 
 def remove_boilerplate(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES, near: float = NEAR
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    site: str = "source",
+    sites: int = SITES,
+    near: float = NEAR,
+    counts: tuple[str, str] = ("n_lines", "n_removed"),
 ) -> DataFrame:
-    """The rows and columns of ``docs``, with ``_lines`` (lines that are not blank), ``_removed``, and the text without them.
+    """The rows and columns of ``docs`` in their order, the text without boilerplate, and two counts under names of the
+    caller's choice: lines that are not blank, and lines removed.
 
     A line counts without the blanks around it; it is boilerplate if it stands on at least ``sites`` distinct sites.
     A document with more than half of its characters on such lines is a copy of a page, not a page with boilerplate:
@@ -71,9 +78,9 @@ def remove_boilerplate(
     whole = lines_of(F.col("_text"))
     rest = F.array_join(F.filter(whole, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     counted = F.size(F.filter(lines_of(F.coalesce("_text", F.lit(""))), lambda x: F.trim(x) != "")).cast("bigint")
+    cleaned = F.when(F.col("_gone").isNotNull(), rest).otherwise(F.col("_text"))
     return joined.select(
-        *[F.col("_doc").getField(c).alias(c) for c in docs.columns if c != text],
-        F.when(F.col("_gone").isNotNull(), rest).otherwise(F.col("_text")).alias(text),
-        counted.alias("_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("_removed"),
+        *[cleaned.alias(c) if c == text else F.col("_doc").getField(c).alias(c) for c in docs.columns],
+        counted.alias(counts[0]),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias(counts[1]),
     )

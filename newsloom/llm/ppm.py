@@ -9,11 +9,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import U64, bounded_batches, chunks, text_bytes
+from newsloom.llm.common import U64, bounded_batches, chunks, keyed_schema, text_bytes
 from newsloom.session import materialize
 
 #: Longest context, in bytes. A context and its next byte fit into one 64-bit number.
@@ -327,8 +326,8 @@ def score_documents(
             columns = [batch.column("_key"), batch.column("_held"), *found.columns]
             yield pa.RecordBatch.from_arrays(columns, names=["_key", "_held", *schema.names])
 
-    kind = rows.schema["_key"].dataType.simpleString()
-    schema = f"_key {kind}, _held boolean, _row_tokens long, _found long, _logs double, score double, _rare array<struct<word: binary, times: bigint>>"
+    columns = "_held boolean, _row_tokens long, _found long, _logs double, score double, _rare array<struct<word: binary, times: bigint>>"
+    schema = keyed_schema(rows, columns)
     scored = materialize(rows.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("_row", F.explode("_rare").alias("r")).select("_row", "r.word", "r.times")
     known = rare.join(counts.where(~frequent), "word").groupBy("_row")

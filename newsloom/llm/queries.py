@@ -32,7 +32,7 @@ def op5_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = linespread.remove_boilerplate(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), "text")
+    return cleaned.select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

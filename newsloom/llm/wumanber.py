@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import bounded_batches, chunks, text_bytes
+from newsloom.llm.common import bounded_batches, chunks, keyed_schema, text_bytes
 from newsloom.session import materialize
 
 WINDOW = 10
@@ -174,7 +174,7 @@ def _shared(spark, block: dict):
 
 def _searched(rows: DataFrame, block: dict, key: str) -> DataFrame:
     shared = _shared(rows.sparkSession, block)
-    schema = f"`{key}` {rows.schema['_key'].dataType.simpleString()}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    schema = keyed_schema(rows, "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns, tables = _prepared(shared)
@@ -192,10 +192,10 @@ def _searched(rows: DataFrame, block: dict, key: str) -> DataFrame:
                     batch.column("_key"), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
                     pa.array(n_items, pa.int64()), pa.array(digests, pa.string()), pa.array(np.array(n_hit) > 0, pa.bool_()),
                 ],
-                names=[key, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+                names=["_key", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
             )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).withColumnRenamed("_key", key)
 
 
 def _spans(rows: DataFrame, block: dict) -> DataFrame:
@@ -240,10 +240,9 @@ def _joined(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in chunks(batches, "_text"):
             n = pa.array([len(words_of(t)) for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("_key"), n], names=["_row", "_key", "n_words"])
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_row"), n], names=["_key", "_row", "n_words"])
 
-    kind = rows.schema["_key"].dataType.simpleString()
-    counted = rows.select("_row", "_key", "_text").mapInArrow(count, f"_row long, _key {kind}, n_words long")
+    counted = rows.select("_key", "_row", "_text").mapInArrow(count, keyed_schema(rows, "_row long, n_words long"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("bigint"))
     return counted.join(hits, "_row", "left").select(
         F.col("_key").alias(key),
