@@ -64,14 +64,16 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
         def batch_of(keys, counts):
             return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)], names=["key", "n"])
 
-        for _, texts in chunks(batches, "_text", 2 << 20):
+        # A model that this worker has scored with is not needed while it counts.
+        _models.clear()
+        for _, texts in chunks(batches, "_text"):
             keys, _ = grams_of([t.lower() for t in texts], order)
             keys, counts = np.unique(keys, return_counts=True)
             held.append((keys, counts.astype(np.int64)))
             size += len(keys)
-            if size > 4_000_000:
+            if size > 1_500_000:
                 one = merged()
-                if len(one[0]) > 2_000_000:
+                if len(one[0]) > 750_000:
                     yield batch_of(*one)
                     held, size = [], 0
                 else:
@@ -87,6 +89,7 @@ def count_words(rows: DataFrame) -> DataFrame:
     """``(word, c)``: tokens of the training texts; the empty word is the end of a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _models.clear()
         counts: Counter = Counter()
         schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
@@ -97,7 +100,7 @@ def count_words(rows: DataFrame) -> DataFrame:
             for text in texts:
                 counts.update(text.lower().split())
             counts[b""] += len(texts)
-            if len(counts) > 400_000:
+            if len(counts) > 300_000:
                 yield flush()
                 counts.clear()
         if counts:
