@@ -11,7 +11,7 @@ from newsloom.llm.encoding import public_vocabulary
 from newsloom.session import materialize, ship_package
 
 #: A text is rejected if no language holds at least this share of its n-grams.
-LEAST_SCORE = 0.2
+LEAST_SCORE = 0.05
 #: Near copies: five-word shingles, likeness 0.8; four slots to a band miss a pair of that likeness once in 2e7.
 WORDS, PERCENT, BAND = 5, 80, 4
 
