@@ -10,8 +10,10 @@ from newsloom.operators.components import connected_components, star_edges
 from newsloom.operators.keyed import HOT_ROWS, salted_join
 from newsloom.session import materialize
 
-# Shorter names must be equal after normalising; one letter more or less would be another name.
+# Names of fewer letters, vowel signs not counted, must be equal after normalising; one letter more or less would be another.
 MIN_LETTERS = 5
+# A form is taken for a misspelling of a head that is used this many times as often.
+CLEARLY = 2
 
 
 def normal_form(name: Column) -> Column:
@@ -35,7 +37,8 @@ def spelling_keys(name: Column, min_letters: int = MIN_LETTERS) -> Column:
             holes, lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1, F.length(text)))
         )
         own = F.array(text)
-        return F.when(F.length(text) >= min_letters, F.array_distinct(F.concat(own, dropped))).otherwise(own)
+        letters = F.length(F.regexp_replace(text, r"[^\p{L}]++", ""))
+        return F.when(letters >= min_letters, F.array_distinct(F.concat(own, dropped))).otherwise(own)
 
     return let(normal_form(name), keys)
 
@@ -50,23 +53,39 @@ def resolve_aliases(
 ) -> DataFrame:
     """``kind, canonical, variant, rank, uses`` from one row per use of a name.
 
-    Names are linked through shared spelling keys: each name of a key to the first and last name of that key, never
-    to all others. The canonical name of a component is its most frequent one, the smallest on a tie.
+    Names of one normal form are one; its most frequent spelling stands for it, the smallest on a tie. Forms are linked
+    through shared spelling keys: each form of a key to the first and last of that key, never to all others. The most
+    frequent form of a component is its head. Another form joins the head only if it shares a key with the head itself
+    and the head is used at least ``CLEARLY`` times as often: otherwise chains of names one letter apart would run together,
+    and two names of equal weight are two names.
     """
     used = names.where(F.col(column).isNotNull() & (F.col(column) != ""))
     counted = used.groupBy(F.col(column).alias("name")).agg(F.count(F.lit(1)).alias("uses"))
-    counted = materialize(counted, "names")
-    keyed = counted.select("name", F.explode(spelling_keys(F.col("name"), min_letters)).alias("key"))
+    counted = materialize(counted.withColumn("form", normal_form(F.col("name"))), "names")
+    forms = counted.groupBy("form").agg(
+        F.sum("uses").alias("weight"), F.min(F.struct(-F.col("uses"), F.col("name").alias("name")))["name"].alias("best")
+    )
+    # Names without a letter or digit have the empty form and stay as they are.
+    forms = materialize(forms.where("form <> ''"), "forms")
+    keyed = forms.select("form", F.explode(spelling_keys(F.col("form"), min_letters)).alias("key"))
     join = {"hot_rows": hot_rows, "small_bytes": small_bytes}
-    edges = star_edges(keyed.where(F.col("key") != ""), ["key"], "name", **join)
+    edges = star_edges(keyed, ["key"], "form", **join)
     labels = connected_components(edges, **join)
-    placed = counted.join(labels.withColumnRenamed("node", "name"), "name", "left").select(
-        "name", "uses", F.coalesce("component", "name").alias("component")
+    placed = materialize(forms.join(labels.withColumnRenamed("node", "form"), "form"), "placed")
+    top = F.min(F.struct(-F.col("weight"), F.col("form").alias("form"), F.col("best").alias("best"), F.col("weight").alias("weight")))
+    heads = placed.groupBy("component").agg(top.alias("h")).select(
+        "component", F.col("h.form").alias("_head"), F.col("h.best").alias("_best"), F.col("h.weight").alias("_weight")
     )
-    placed = materialize(placed, "placed")
-    best = placed.groupBy("component").agg(F.min(F.struct(-F.col("uses"), F.col("name").alias("name"))).alias("b"))
-    heads = best.select("component", F.col("b.name").alias("canonical"))
-    found = salted_join(placed, heads, ["component"], spread=["name"], **join)
+    met = salted_join(placed, heads, ["component"], spread=["form"], **join)
+    shares = F.arrays_overlap(spelling_keys(F.col("form"), min_letters), spelling_keys(F.col("_head"), min_letters))
+    joins = (F.col("form") != F.col("_head")) & shares & (F.col("_weight") >= CLEARLY * F.col("weight"))
+    moved = materialize(met.where(joins).select("form", F.col("_best").alias("_to")), "moved")
+    heads_of = forms.join(moved, "form", "left").select("form", F.coalesce("_to", "best").alias("canonical"))
+    found = salted_join(counted, heads_of, ["form"], "left", spread=["name"], **join)
     return found.select(
-        F.lit(kind).alias("kind"), "canonical", F.col("name").alias("variant"), F.lit(0).cast("bigint").alias("rank"), "uses"
+        F.lit(kind).alias("kind"),
+        F.coalesce("canonical", "name").alias("canonical"),
+        F.col("name").alias("variant"),
+        F.lit(0).cast("bigint").alias("rank"),
+        "uses",
     )

@@ -304,13 +304,17 @@ ORACLES = {
             WHEN 3 THEN upper(p_name) ELSE p_name END AS name FROM part),
         counted AS (SELECT name, count(*) AS uses FROM used WHERE name <> '' GROUP BY 1),
         normal AS (SELECT name, uses, trim(regexp_replace(lower(name), '[^a-z0-9]+', ' ', 'g')) AS f FROM counted),
-        keys AS (SELECT name, f AS k FROM normal UNION SELECT name, left(f, i - 1) || substr(f, i + 1) FROM (
-            SELECT name, f, unnest(range(1, length(f) + 1)) AS i FROM normal WHERE length(f) >= 5) WHERE NOT regexp_matches(f[i], '\d')),
-        e AS (SELECT DISTINCT p.name AS x, q.name AS y FROM keys p JOIN keys q USING (k) WHERE p.name <> q.name),
-        reach AS (SELECT name AS node, name AS root FROM counted UNION SELECT e.y, r.root FROM reach r JOIN e ON e.x = r.node),
-        comp AS (SELECT node, min(root) AS c FROM reach GROUP BY 1),
-        head AS (SELECT c, arg_min(name, (-uses, name)) AS canonical FROM comp JOIN counted ON name = node GROUP BY 1)
-        SELECT 'actor' AS kind, canonical, name AS variant, CAST(0 AS BIGINT) AS rank, uses FROM comp JOIN counted ON name = node JOIN head USING (c)""",
+        forms AS (SELECT f, sum(uses) AS w, arg_min(name, (-uses, name)) AS best FROM normal WHERE f <> '' GROUP BY 1),
+        keys AS (SELECT f, f AS k FROM forms UNION SELECT f, left(f, i - 1) || substr(f, i + 1) FROM (
+            SELECT f, unnest(range(1, length(f) + 1)) AS i FROM forms WHERE length(regexp_replace(f, '[^a-z]', '', 'g')) >= 5) WHERE NOT regexp_matches(f[i], '\d')),
+        e AS (SELECT DISTINCT p.f AS x, q.f AS y FROM keys p JOIN keys q USING (k) WHERE p.f <> q.f),
+        reach AS (SELECT f AS node, f AS root FROM forms UNION SELECT e.y, r.root FROM reach r JOIN e ON e.x = r.node),
+        comp AS (SELECT node AS f, min(root) AS c FROM reach GROUP BY 1),
+        head AS (SELECT c, arg_min(f, (-w, f)) AS h FROM comp JOIN forms USING (f) GROUP BY 1),
+        moved AS (SELECT m.f, b.best AS other FROM comp m JOIN head USING (c) JOIN forms a ON a.f = m.f JOIN forms b ON b.f = h
+            JOIN e ON e.x = m.f AND e.y = h WHERE b.w >= 2 * a.w)
+        SELECT 'actor' AS kind, coalesce(other, best, name) AS canonical, name AS variant, CAST(0 AS BIGINT) AS rank, uses
+        FROM normal LEFT JOIN forms USING (f) LEFT JOIN moved USING (f)""",
     "extract_baseline": rf"""WITH art AS (SELECT doc_id AS pos, CASE WHEN doc_id % 2 = 0 THEN
             'On 2024-05-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || ' at 9:3' || (doc_id % 10) || ' ' || text ELSE text END AS content FROM documents),
         pieces AS (SELECT pos, string_split_regex(content, '[।.!?\n]+') AS p FROM art),

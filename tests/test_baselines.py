@@ -88,6 +88,13 @@ def test_resolve(spark, options):
     }
 
 
+def test_names_one_letter_apart_stay_apart(spark):
+    uses = ["Maria", "Marie", "Mario", "Marko"] * 2 + ["विमला"] * 5 + ["विमल"] + ["Katarina"] * 4 + ["KATARINA", "Katarinna", "Catarinna"]
+    df = spark.createDataFrame([(u,) for u in uses], "value string")
+    got = {r.variant: r.canonical for r in resolve.resolve_aliases(df, "actor").collect()}
+    assert {v: c for v, c in got.items() if v != c} == {"KATARINA": "Katarina", "Katarinna": "Katarina"}
+
+
 @pytest.mark.parametrize("options", [{}, {"small_bytes": 0, "hot_rows": 2, "salts": 3}])
 def test_extract(spark, options):
     aliases = spark.createDataFrame([("actor", "Nepal Police", "Police Force", 0), ("actor", "Ram", "Ram", 1), ("location", "Pokhara", "Pokhara", 2)], "kind string, canonical string, variant string, rank long")
