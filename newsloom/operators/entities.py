@@ -65,9 +65,24 @@ def canonical_column(value: Column, dictionary: Mapping[str, Sequence[str]]) ->
 
 
 def canonicalize_with(
-    entities: DataFrame, actors: Mapping[str, Sequence[str]], locations: Mapping[str, Sequence[str]]
+    entities: DataFrame,
+    actors: Mapping[str, Sequence[str]],
+    locations: Mapping[str, Sequence[str]],
+    key: Sequence[str] = ("article_pos", "entity_pos"),
 ) -> DataFrame:
-    """Canonical ``actors`` and ``location`` of flat entity rows from small dictionaries; no shuffle."""
+    """Canonical ``actors`` and ``location`` of flat entity rows from dictionaries in memory.
+
+    Small ones lie in the plan, without a shuffle; longer ones become a table for `canonicalize`, by the same rule.
+    """
+    if max(sum(map(len, d.values())) for d in (actors, locations)) > LITERAL_LIMIT:
+        listed = [
+            (kind, canonical, variant, rank)
+            for kind, dictionary in ((ACTOR, actors), (LOCATION, locations))
+            for rank, (canonical, variants) in enumerate(dictionary.items())
+            for variant in variants
+        ]
+        table = entities.sparkSession.createDataFrame(listed, "kind string, canonical string, variant string, rank long")
+        return canonicalize(entities, table, key)
 
     def mapped(column: str, dictionary: Mapping[str, Sequence[str]]) -> Column:
         names = F.filter(column, lambda name: name.isNotNull())

@@ -44,7 +44,3 @@ def narrow_events(dated: DataFrame) -> DataFrame:
 def merge_input(dated: DataFrame) -> DataFrame:
     """The columns a merge stage sees, picked before any Python code since Catalyst cannot prune inside it."""
     return dated.select("event_date", *MERGE_INPUT)
-
-
-def extraction_input(articles: DataFrame) -> DataFrame:
-    return articles.select("pos", "title", "published_date", "content")

@@ -73,18 +73,18 @@ def test_merge_events(spark):
 
 @pytest.mark.parametrize("options", [{}, {"small_bytes": 0, "hot_rows": 2}])
 def test_resolve(spark, options):
-    uses = ["Nepal Police"] * 3 + ["Nepal  police"] + ["Nepal Polise", "Neapl Police"] + ["user 12", "user 13"] + ["Ram", "Rum"] + ["", None]
+    uses = ["Hill Rangers"] * 3 + ["Hill  rangers"] + ["Hill Rangars", "Hlil Rangers"] + ["user 12", "user 13"] + ["Ulla", "Ulle"] + ["", None]
     df = spark.createDataFrame([(u,) for u in uses], "value string")
     got = {r.variant: (r.canonical, r.uses) for r in resolve.resolve_aliases(df, "actor", **options).collect()}
     assert got == {
-        "Nepal Police": ("Nepal Police", 3),
-        "Nepal  police": ("Nepal Police", 1),
-        "Nepal Polise": ("Nepal Police", 1),
-        "Neapl Police": ("Nepal Police", 1),
+        "Hill Rangers": ("Hill Rangers", 3),
+        "Hill  rangers": ("Hill Rangers", 1),
+        "Hill Rangars": ("Hill Rangers", 1),
+        "Hlil Rangers": ("Hill Rangers", 1),
         "user 12": ("user 12", 1),
         "user 13": ("user 13", 1),
-        "Ram": ("Ram", 1),
-        "Rum": ("Rum", 1),
+        "Ulla": ("Ulla", 1),
+        "Ulle": ("Ulle", 1),
     }
 
 
@@ -97,11 +97,11 @@ def test_names_one_letter_apart_stay_apart(spark):
 
 @pytest.mark.parametrize("options", [{}, {"small_bytes": 0, "hot_rows": 2, "salts": 3}])
 def test_extract(spark, options):
-    aliases = spark.createDataFrame([("actor", "Nepal Police", "Police Force", 0), ("actor", "Ram", "Ram", 1), ("location", "Pokhara", "Pokhara", 2)], "kind string, canonical string, variant string, rank long")
-    text = "On 2024-05-06 at 14:30 the (Police Force), Ram and Police Force met in Pokhara. Nothing here! Ram left।  Pokhara is calm"
+    aliases = spark.createDataFrame([("actor", "Hill Rangers", "Ranger Corps", 0), ("actor", "Ulla", "Ulla", 1), ("location", "Ostwick", "Ostwick", 2)], "kind string, canonical string, variant string, rank long")
+    text = "On 2024-05-06 at 14:30 the (Ranger Corps), Ulla and Ranger Corps met in Ostwick. Nothing here! Ulla left।  Ostwick is calm"
     articles = spark.createDataFrame([(7, "u", "T", "2024-06-01 (Saturday)", text)], "pos long, url string, title string, published_date string, content string")
     got = baseline.extract_events(articles, aliases, **options)
     assert rows(got.select("article_pos", "entity_pos", "actors", "location", "event_date", "event_time", "event")) == [
-        (7, 0, ["Nepal Police", "Ram"], ["Pokhara"], "2024-05-06", "14:30", "On 2024-05-06 at 14:30 the (Police Force), Ram and Police Force met in Pokhara"),
-        (7, 2, ["Ram"], [], "2024-06-01", None, "Ram left"),
+        (7, 0, ["Hill Rangers", "Ulla"], ["Ostwick"], "2024-05-06", "14:30", "On 2024-05-06 at 14:30 the (Ranger Corps), Ulla and Ranger Corps met in Ostwick"),
+        (7, 2, ["Ulla"], [], "2024-06-01", None, "Ulla left"),
     ]

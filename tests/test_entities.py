@@ -7,8 +7,9 @@ from newsloom.operators import entities, grouping
 from .conftest import rows
 
 ENTITY = schemas.ENTITY.simpleString()
-POLICE = {"Nepal Police": ["Nepal Police", "Nepal Police Force"]}
-POKHARA = {"पोखरा": ["पोखरा", "पोखरा, नेपाल"]}
+# Three variants each, and a canonical name that is none of them.
+COUNCIL = {"Harbour Council": ["harbour board", "H.C.", "council of the harbour"]}
+LINDEBY = {"Lindeby": ["old Lindeby", "Lindeby (north)", "लिन्डेबी"]}
 
 
 def entity(event, actors, date, location, details="d"):
@@ -18,8 +19,8 @@ def entity(event, actors, date, location, details="d"):
 @pytest.fixture
 def articles(spark):
     data = [
-        (0, "u1", "t1", "2024-01-01", "c", [entity("E1", ["Nepal Police Force", "B", "B"], "2024-01-02", ["पोखरा, नेपाल"]), entity("E2", ["B", "C", ""], "", ["Y"])]),
-        (1, "u2", "t2", "2024-01-02", "c", [entity("E3", [None, "Nepal Police"], "2024-01-01", None), entity("E4", [], "2024-01-02", ["X"])]),
+        (0, "u1", "t1", "2024-01-01", "c", [entity("E1", ["harbour board", "B", "B"], "2024-01-02", ["लिन्डेबी"]), entity("E2", ["B", "C", ""], "", ["Y"])]),
+        (1, "u2", "t2", "2024-01-02", "c", [entity("E3", [None, "H.C."], "2024-01-01", None), entity("E4", [], "2024-01-02", ["X"])]),
         (2, "u3", "t3", "2024-01-03", "c", []),
         (3, "u4", "t4", "2024-01-03", "c", None),
     ]
@@ -28,8 +29,8 @@ def articles(spark):
 
 @pytest.fixture
 def aliases(spark):
-    data = [("actor", c, v, 5) for c, vs in POLICE.items() for v in vs] + [("location", c, v, 5) for c, vs in POKHARA.items() for v in vs]
-    data += [("actor", "Later", "Nepal Police Force", 9), ("location", "L", "B", 0)]
+    data = [("actor", c, v, 5) for c, vs in COUNCIL.items() for v in vs] + [("location", c, v, 5) for c, vs in LINDEBY.items() for v in vs]
+    data += [("actor", "Later", "harbour board", 9), ("location", "L", "B", 0)]
     return spark.createDataFrame(data, schemas.ALIASES.simpleString().removeprefix("struct<").removesuffix(">"))
 
 
@@ -44,7 +45,7 @@ def test_entity_fields_win(spark):
 
 
 def test_unique_values(articles):
-    assert [r.value for r in entities.sorted_values(entities.unique_values(articles, "actors")).collect()] == ["B", "C", "Nepal Police", "Nepal Police Force"]
+    assert [r.value for r in entities.sorted_values(entities.unique_values(articles, "actors")).collect()] == ["B", "C", "H.C.", "harbour board"]
     assert rows(entities.unique_values(articles, "event")) == [("E1",), ("E2",), ("E3",), ("E4",)]
 
 
@@ -54,21 +55,24 @@ def test_canonicalize(articles, aliases, options):
     got = entities.canonicalize(flat, aliases, **options)
     assert got.columns == flat.columns
     expected = [
-        (0, 0, ["Nepal Police", "B", "B"], ["पोखरा"]),
+        (0, 0, ["Harbour Council", "B", "B"], ["Lindeby"]),
         (0, 1, ["B", "C", ""], ["Y"]),
-        (1, 0, ["Nepal Police"], None),
+        (1, 0, ["Harbour Council"], None),
         (1, 1, [], ["X"]),
     ]
     assert rows(got.select("article_pos", "entity_pos", "actors", "location")) == expected
-    small = entities.canonicalize_with(flat, POLICE, POKHARA)
-    assert rows(small.select("article_pos", "entity_pos", "actors", "location")) == expected
+    long = {**COUNCIL, **{f"n{i}": [f"n{i} one", f"n{i} two"] for i in range(300)}}
+    for actors in (COUNCIL, long):
+        small = entities.canonicalize_with(flat, actors, LINDEBY)
+        assert small.columns == flat.columns
+        assert rows(small.select("article_pos", "entity_pos", "actors", "location")) == expected
 
 
 def test_canonical_nested(articles, aliases):
     got = entities.with_canonical_entities(articles, aliases)
     assert got.columns == articles.columns
     by_pos = {r.pos: r.entities for r in got.collect()}
-    assert [e.actors for e in by_pos[0]] == [["Nepal Police", "B", "B"], ["B", "C", ""]]
+    assert [e.actors for e in by_pos[0]] == [["Harbour Council", "B", "B"], ["B", "C", ""]]
     assert by_pos[2] == [] and by_pos[3] is None
 
 
@@ -78,9 +82,9 @@ def test_canonicalize_is_idempotent(articles, aliases):
 
 
 def test_values_and_small_dictionary(spark, aliases):
-    names = spark.createDataFrame([("Nepal Police Force",), ("Random",)], "value string")
-    assert rows(entities.canonicalize_values(names, aliases, "actor")) == [("Nepal Police Force", "Nepal Police"), ("Random", "Random")]
-    assert names.select(entities.canonical_column(F.col("value"), {})).first()[0] == "Nepal Police Force"
+    names = spark.createDataFrame([("council of the harbour",), ("Unlisted",)], "value string")
+    assert rows(entities.canonicalize_values(names, aliases, "actor")) == [("Unlisted", "Unlisted"), ("council of the harbour", "Harbour Council")]
+    assert names.select(entities.canonical_column(F.col("value"), {})).first()[0] == "council of the harbour"
     with pytest.raises(TypeError):
         entities.canonical_column(F.col("value"), {"a": "abc"})
     with pytest.raises(ValueError):

@@ -2,22 +2,27 @@ import json
 
 import pandas as pd
 
+from newsloom.functions.html import PageLayout
 from newsloom.operators import graph
 from newsloom.plans import pipeline
 
 from .conftest import rows
 
-PAGE = """<html><h1 class="entry-title">{title}</h1><div class="ok-news-post-hour"><span>{date}</span></div>
-<div class="ok18-single-post-content-wrap"><p>{first}</p><p>{second}</p></div></html>"""
-STORM = "Nepal Police Force closed three roads near the river in Pokhara after the heavy storm on २०८२ साउन १० गते"
-ALIASES = [("actor", "Nepal Police", "Nepal Police Force", 0), ("actor", "Ram", "Ram", 1), ("location", "Pokhara", "Pokhara", 2)]
+L = PageLayout()
+PAGE = (
+    f'<html><{L.title_tag} class="{L.title_class}">{{title}}</{L.title_tag}>'
+    f'<{L.date_tag} class="{L.date_class}"><{L.date_inner_tag}>{{date}}</{L.date_inner_tag}></{L.date_tag}>'
+    f'<{L.content_tag} class="{L.content_class}"><p>{{first}}</p><p>{{second}}</p></{L.content_tag}></html>'
+)
+STORM = "The ferry guild closed three piers near the lighthouse of Ostwick after the heavy storm on २०८२ साउन १० गते"
+ALIASES = [("actor", "Ferry Union", "ferry guild", 0), ("actor", "Ferry Union", "ferrymen", 0), ("actor", "Ulla", "Ulla", 1), ("location", "Ostwick Bay", "Ostwick", 2)]
 
 
 def inputs(spark):
     pages = [
-        ("u1", PAGE.format(title="T1", date="२०८२ साउन १२ गते १२:३०", first=STORM, second="Ram came home at 7:15")),
+        ("u1", PAGE.format(title="T1", date="२०८२ साउन १२ गते १२:३०", first=STORM, second="Ulla came home at 7:15")),
         ("u2", PAGE.format(title="T2", date="2025-07-29", first=STORM + " too", second="nobody")),
-        ("u9", PAGE.format(title="T9", date="2025-07-29", first="Ram is not on the list", second="")),
+        ("u9", PAGE.format(title="T9", date="2025-07-29", first="Ulla is not on the list", second="")),
     ]
     return (
         spark.createDataFrame([("u1", 0), ("u2", 1), ("gone", 2)], "url string, pos long"),
@@ -32,9 +37,9 @@ def test_pages_to_graph(spark):
     assert rows(out["articles"].select("pos", "title", "published_date")) == [(0, "T1", "2025-07-28 (Monday)"), (1, "T2", "2025-07-29 (Tuesday)"), (2, "", "")]
     dated = out["dated_events"].select("event_date", "id", "article_url", "actors", "event_time")
     assert rows(dated) == [
-        ("2025-07-26", "1", "u1", ["Nepal Police"], None),
-        ("2025-07-26", "2", "u2", ["Nepal Police"], None),
-        ("2025-07-28", "1", "u1", ["Ram"], "7:15"),
+        ("2025-07-26", "1", "u1", ["Ferry Union"], None),
+        ("2025-07-26", "2", "u2", ["Ferry Union"], None),
+        ("2025-07-28", "1", "u1", ["Ulla"], "7:15"),
     ]
     assert rows(out["merged_members"].select("event_date", "merged_id", "id")) == [("2025-07-26", 1, "1"), ("2025-07-26", 1, "2"), ("2025-07-28", 1, "1")]
     counts = dict(rows(graph.graph_counts(out["nodes"], out["edges"])))
@@ -45,11 +50,11 @@ def test_with_models(spark):
     urls, pages, aliases = inputs(spark)
 
     def extract(prompts: pd.Series) -> pd.Series:
-        event = {"event": "Storm", "actors": ["Nepal Police Force"], "event_date": "2025-07-26", "location": ["Pokhara"], "details": "d"}
+        event = {"event": "Storm", "actors": ["ferrymen"], "event_date": "2025-07-26", "location": ["Ostwick"], "details": "d"}
         return prompts.map(lambda p: json.dumps([event, {"event": "bad"}]) if "storm" in p else "nothing")
 
     def merge(prompts: pd.Series) -> pd.Series:
-        return prompts.map(lambda p: json.dumps([{"event": "One storm", "details": "d", "actors": ["Nepal Police"], "source_event_indices": [1, 2, 7]}]))
+        return prompts.map(lambda p: json.dumps([{"event": "One storm", "details": "d", "actors": ["Ferry Union"], "source_event_indices": [1, 2, 7]}]))
 
     out = pipeline.run(urls, pages, aliases, 2082, "2025-01-01", extract_model=extract, merge_model=merge)
     assert out["rejected_entities"].count() == 2
@@ -60,6 +65,6 @@ def test_with_models(spark):
 
 
 def test_dictionary_from_uses(spark):
-    flat = spark.createDataFrame([(["Nepal Police", "Nepal Polise", "Nepal Police"], ["Pokhara"])], "actors array<string>, location array<string>")
+    flat = spark.createDataFrame([(["Ferry Union", "Fery Union", "Ferry Union"], ["Ostwick"])], "actors array<string>, location array<string>")
     got = pipeline.resolved_dictionary(flat)
-    assert rows(got) == [("actor", "Nepal Police", "Nepal Police", 0), ("actor", "Nepal Police", "Nepal Polise", 0), ("location", "Pokhara", "Pokhara", 0)]
+    assert rows(got) == [("actor", "Ferry Union", "Ferry Union", 0), ("actor", "Ferry Union", "Fery Union", 0), ("location", "Ostwick", "Ostwick", 0)]
