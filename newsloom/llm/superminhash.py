@@ -20,6 +20,8 @@ SLOTS = 128
 BAND = 5
 WORDS = 5
 PERCENT = 80
+#: Heads of a bucket that its members meet in one round, at first and at most; rounds go on until none is left.
+FIRST_HEADS, MOST_HEADS = 32, 256
 
 
 class Shingler:
@@ -168,7 +170,7 @@ def near_duplicates(
     Two documents are linked if their sets of ``words``-word shingles have ``100 * intersection >= percent * union``;
     ``component_id`` is the smallest key that links reach. Rows of equal sets are one class from the start. Candidates
     are classes that share a band of their SuperMinHash; a bucket's members are compared with its head, then, as long
-    as a bucket holds members of several components, with 32 more heads, then 64 and so on, each once. Members that have
+    as a bucket holds members of several components, with more and more heads, each once. Members that have
     too many shingles of their own to be like anyone leave before. So a group of like members costs one pair per
     member, and no candidate pair of different components that could be a link stays unseen. All links are confirmed
     on whole sets.
@@ -221,7 +223,7 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
     links = materialize(linked_pairs(tested, sets, percent), "links")
     labels = _components(links)
 
-    count = 32
+    count = FIRST_HEADS
     while True:
         # Buckets that hold more than one component stay, without the members that can have no link there.
         named = materialize(_unsettled(_named(members, labels)), "members")
@@ -230,17 +232,24 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
         named = materialize(_unsettled(_possible(named, sets, percent)), "members")
         if named.isEmpty():
             return labels
-        ranked = Window.partitionBy("_band").orderBy(F.desc("_w"), _order(F.col("_node")), "_node")
-        heads = materialize(named.withColumn("_place", F.row_number().over(ranked)).where(F.col("_place") <= count), "heads")
-        head = heads.select("_band", *[F.col(c).alias("_head" + c) for c in ("_node", "_n", "_common", "_component")])
-        common = F.least("_common", "_head_common")
-        meets = (
-            (named["_band"] == head["_band"])
-            & (F.col("_component") != F.col("_head_component"))
-            & (common * 100 >= (F.col("_n") + F.col("_head_n") - common) * percent)
-        )
-        met = named.join(head, meets)
-        pairs = met.select(F.least("_node", "_head_node").alias("_a"), F.greatest("_node", "_head_node").alias("_b")).distinct()
+        # Members of a bucket's small components go first: when they have met all others, one component is left.
+        sizes = named.groupBy("_band", "_component").agg(F.count(F.lit(1)).alias("_size"))
+        ranked = Window.partitionBy("_band").orderBy("_size", F.desc("_w"), _order(F.col("_node")), "_node")
+        heads = named.join(sizes, ["_band", "_component"]).withColumn("_place", F.row_number().over(ranked))
+        heads = materialize(heads.where(F.col("_place") <= count), "heads")
+        entry = F.struct(*[F.col("_" + c).alias(c) for c in ("node", "n", "common", "component")])
+        lists = heads.groupBy("_band").agg(F.collect_list(entry).alias("_heads"))
+
+        def may_link(head: Column) -> Column:
+            common = F.least(F.col("_common"), head["common"])
+            bound = common * 100 >= (F.col("_n") + head["n"] - common) * percent
+            return (F.col("_component") != head["component"]) & bound
+
+        # The heads of a bucket are a short list, so a member stays one row for each of its bands, and a pair is made once.
+        met = named.join(lists, "_band").select("_node", F.transform(F.filter("_heads", may_link), lambda h: h["node"]).alias("_met"))
+        met = met.where(F.size("_met") > 0).groupBy("_node").agg(F.array_distinct(F.flatten(F.collect_list("_met"))).alias("_met"))
+        met = met.select("_node", F.explode("_met").alias("_head"))
+        pairs = met.select(F.least("_node", "_head").alias("_a"), F.greatest("_node", "_head").alias("_b")).distinct()
         pairs = materialize(pairs.join(tested, ["_a", "_b"], "left_anti"), "pairs")
         more = materialize(linked_pairs(pairs, sets, percent), "links")
         if not more.isEmpty():
@@ -249,7 +258,7 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
         tested = tested.unionByName(pairs)
         # The heads have met all members of their buckets.
         members = named.join(heads.select("_band", "_node"), ["_band", "_node"], "left_anti").select("_band", "_node", "_n", "_w")
-        count *= 2
+        count = min(2 * count, MOST_HEADS)
 
 
 def _unsettled(named: DataFrame) -> DataFrame:
