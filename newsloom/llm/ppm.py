@@ -12,13 +12,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import U64, bounded_batches, chunks, keyed_schema, text_bytes
+from newsloom.llm.common import U64, bounded_batches, chunks, keyed_schema, lists, text_bytes
 from newsloom.session import materialize
 
 #: Longest context, in bytes. A context and its next byte fit into one 64-bit number.
 ORDER = 6
-#: A trie node is kept if at least one in 2**KEEP_BITS of all symbols passes it, so a level has at most 2**KEEP_BITS nodes.
-KEEP_BITS = 22
+#: A gram is frequent if it is at least one in 2**GRAM_BITS of all symbols, so there are at most 2**GRAM_BITS of them.
+GRAM_BITS = 22
 #: A word is frequent if it is at least one in 2**WORD_BITS of all tokens, so there are at most 2**WORD_BITS of them.
 WORD_BITS = 19
 #: Stands before and behind a text; UTF-8 has no such byte.
@@ -47,30 +47,35 @@ def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_grams(rows: DataFrame, order: int) -> DataFrame:
-    """``(key, n)``: how often each symbol follows each context of ``order`` bytes, added up inside each task first."""
+    """``(key, n, uses)``: how often each symbol follows each context of ``order`` bytes, in training rows and in all rows.
+
+    Occurrences are added up inside each task first; the lowest bit of a mark says that they are of training rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys = np.concatenate([k for k, _ in held])
+            marks = np.concatenate([m for m, _ in held])
             counts = np.concatenate([c for _, c in held])
-            by = np.argsort(keys)
-            keys, counts = keys[by], counts[by]
-            first = np.concatenate([[True], keys[1:] != keys[:-1]])
-            return keys[first], np.add.reduceat(counts, np.flatnonzero(first))
+            by = np.argsort(marks)
+            marks, counts = marks[by], counts[by]
+            first = np.concatenate([[True], marks[1:] != marks[:-1]])
+            return marks[first], np.add.reduceat(counts, np.flatnonzero(first))
 
-        def batch_of(keys, counts):
-            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(counts)], names=["key", "n"])
+        def batch_of(marks, counts):
+            return pa.RecordBatch.from_arrays([pa.array(marks.astype(np.int64)), pa.array(counts)], names=["mark", "n"])
 
         # A model that this worker has scored with is not needed while it counts.
         _models.clear()
-        for _, texts in chunks(batches, "_text"):
-            keys, _ = grams_of([t.lower() for t in texts], order)
-            keys, counts = np.unique(keys, return_counts=True)
-            held.append((keys, counts.astype(np.int64)))
-            size += len(keys)
+        for batch, texts in chunks(batches, "_text"):
+            keys, starts = grams_of([t.lower() for t in texts], order)
+            learns = ~batch.column("_held").to_numpy(zero_copy_only=False).astype(bool)
+            marks = (keys << U64(1)) | np.repeat(learns, np.diff(starts)).astype(U64)
+            marks, counts = np.unique(marks, return_counts=True)
+            held.append((marks, counts.astype(np.int64)))
+            size += len(marks)
             if size > 1_500_000:
                 one = merged()
                 if len(one[0]) > 750_000:
@@ -81,8 +86,9 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
         if held:
             yield batch_of(*merged())
 
-    partial = rows.select("_text").mapInArrow(run, "key long, n long")
-    return partial.groupBy("key").agg(F.sum("n").alias("n"))
+    partial = rows.select("_held", "_text").mapInArrow(run, "mark long, n long")
+    learned = F.when(F.col("mark").bitwiseAND(F.lit(1)) == 1, F.col("n")).otherwise(F.lit(0))
+    return partial.groupBy(F.shiftrightunsigned("mark", 1).alias("key")).agg(F.sum(learned).alias("n"), F.sum("n").alias("uses"))
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -109,85 +115,90 @@ def count_words(rows: DataFrame) -> DataFrame:
     return rows.select("_text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-class Level:
-    """The nodes of one depth: kept grams with counts, and the contexts they continue."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, contexts: np.ndarray, totals: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.counts = keys[order], counts[order].astype(np.float64)
-        order = np.argsort(contexts)
-        contexts, totals = contexts[order], totals[order].astype(np.float64)
-        parents = self.keys >> U64(8)
-        place = np.searchsorted(contexts, parents)
-        # A context is kept if a kept gram continues it.
-        used = np.unique(place)
-        self.contexts, self.totals = contexts[used], totals[used]
-        self.parent = np.searchsorted(used, place)
-        self.seen = np.bincount(self.parent, self.counts, len(used))
-        self.kinds = np.bincount(self.parent, minlength=len(used)).astype(np.float64)
+def _low(column: str, size: int) -> Column:
+    """The last ``size`` bytes of a number."""
+    return F.col(column).bitwiseAND(F.lit((1 << (8 * size)) - 1))
 
 
-def train(grams: DataFrame, order: int = ORDER, keep_bits: int = KEEP_BITS) -> dict:
-    """Trie arrays of all orders from ``(key, n)``; bounded by ``keep_bits`` whatever the corpus holds.
+def context_table(level: DataFrame, lower: DataFrame | None, below: DataFrame | None, depth: int, least: int) -> DataFrame:
+    """``(context, total, seen, kinds, escape, below_total, below_escape)`` of the contexts of one depth.
 
-    Counts of shorter contexts are sums over the longer ones, made by Spark level by level. Only nodes that at least
-    one in ``2**keep_bits`` symbols passes reach the driver. What a context had beside its kept symbols adds to the
-    escape, so probabilities still add up to one. An empty corpus gives a trie without nodes.
+    ``level`` and ``lower`` are the counts of this depth and of the next shorter one, ``below`` the contexts there. The last two
+    columns hold, at the next shorter context without the symbols of this one, the logarithms of the total and of the escape.
+    A key of a depth has at most 256 keys of the next depth, so no join here has a key with many rows.
     """
-    levels = []
-    current = materialize(grams, "grams")
-    total = current.agg(F.sum("n")).first()[0] or 0
-    least = max(1, -(-total // (1 << keep_bits)))
-    for depth in range(order, -1, -1):
-        kept = current.where(F.col("n") >= least).toArrow()
-        contexts = current.groupBy(F.shiftrightunsigned("key", 8).alias("key")).agg(F.sum("n").alias("n"))
-        contexts = contexts.where(F.col("n") >= least).toArrow()
-        arrays = [kept["key"].to_numpy().astype(U64), kept["n"].to_numpy()]
-        arrays += [contexts["key"].to_numpy().astype(U64), contexts["n"].to_numpy()]
-        levels.append(Level(*arrays))
-        if depth:
-            mask = (1 << (8 * depth)) - 1
-            shorter = current.select(F.col("key").bitwiseAND(F.lit(mask)).alias("key"), "n")
-            current = materialize(shorter.groupBy("key").agg(F.sum("n").alias("n")), "grams")
-    return weights(levels[::-1], total)
-
-
-def _found(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    return np.searchsorted(keys, wanted)
+    rows = level.select("key", "n")
+    if depth:
+        rows = rows.withColumn("_at", _low("key", depth)).join(lower.select(F.col("key").alias("_at"), F.col("n").alias("_n")), "_at")
+    else:
+        rows = rows.withColumn("_n", F.lit(0).cast("long"))
+    kept = F.col("n") >= least
+    found = rows.groupBy(F.shiftrightunsigned("key", 8).alias("context")).agg(
+        F.sum("n").alias("total"), F.sum(F.when(kept, F.col("n"))).alias("seen"), F.count(F.when(kept, True)).alias("kinds"),
+        F.sum(F.when(kept, F.col("_n"))).alias("_symbols"),
+    )
+    # A context is kept if a kept gram continues it.
+    found = found.where("kinds > 0").withColumn("escape", F.log((F.col("total") - F.col("seen") + F.col("kinds") / 2) / F.col("total")))
+    names = ["context", "total", "seen", "kinds", "escape"]
+    if not depth:
+        return found.select(*names, F.lit(None).cast("double").alias("below_total"), F.lit(None).cast("double").alias("below_escape"))
+    shorter = below.select(F.col("context").alias("_at"), *[F.col(c).alias(f"_{c}") for c in ("total", "seen", "kinds")])
+    left = F.col("_total") - F.col("_symbols")
+    escape = F.col("_total") - F.col("_seen") + (F.col("_kinds") - F.col("kinds")) / 2
+    return found.withColumn("_at", _low("context", depth - 1)).join(shorter, "_at").select(
+        *names, F.when(left > 0, F.log(left)).alias("below_total"), F.when(left > 0, F.log(escape / left)).otherwise(0.0).alias("below_escape")
+    )
 
 
-def weights(levels: list[Level], total: int) -> dict:
-    """Logarithms that scoring adds up: for grams ``top`` and ``log_n``; for contexts ``escape``, and, at the next shorter
-    context without the symbols of this one, ``below_total`` and ``below_escape``.
+def log_probabilities(grams: DataFrame, order: int, keep_bits: int | None = None) -> DataFrame:
+    """``(key, uses, value)``: the logarithm of the probability of each gram of the stored ``(key, n, uses)``.
 
-    A symbol weighs its count less one half; each kept kind of symbol gives its half to the escape.
+    A gram holds all that its probability depends on, so each distinct one is worked out once, by joins with the stored counts
+    of all depths: down the depths, the grams not found are asked again with one byte of context less; up again, their
+    values are put together. A symbol weighs its count less one half; each kind of symbol gives its half to the escape.
+    Every counted node takes part. With ``keep_bits`` only nodes that one in ``2**keep_bits`` symbols passes do, and what a context
+    had beside them adds to its escape. An empty corpus gives a trie without nodes.
     """
-    out = {"id": uuid.uuid4().hex, "total": total, "levels": []}
-    with np.errstate(divide="ignore"):
-        for depth, level in enumerate(levels):
-            rest = level.totals - level.seen
-            entry = {
-                "keys": level.keys,
-                "contexts": level.contexts,
-                "log_n": np.log(level.counts - 0.5).astype(np.float32),
-                "top": np.log((level.counts - 0.5) / level.totals[level.parent]).astype(np.float32),
-                "escape": np.log((rest + level.kinds / 2) / level.totals),
-                "below_total": np.zeros(0),
-                "below_escape": np.zeros(0),
-            }
-            if depth and len(level.keys):
-                lower = levels[depth - 1]
-                mask = U64((1 << (8 * depth)) - 1)
-                symbols = np.bincount(level.parent, lower.counts[_found(lower.keys, level.keys & mask)], len(level.contexts))
-                suffix = level.contexts & U64((1 << (8 * (depth - 1))) - 1)
-                at = _found(lower.contexts, suffix)
-                left = np.maximum(lower.totals[at] - symbols, 0)
-                kinds = lower.kinds[at] - level.kinds
-                escape = lower.totals[at] - lower.seen[at] + kinds / 2
-                entry["below_total"] = np.log(left)
-                entry["below_escape"] = np.where(left > 0, np.log(np.where(left > 0, escape / np.where(left > 0, left, 1), 1)), 0.0)
-            out["levels"].append(entry)
-    return out
+    least = 1
+    if keep_bits is not None:
+        least = max(1, -(-(grams.agg(F.sum("n")).first()[0] or 0) // (1 << keep_bits)))
+    levels = [grams.where("n > 0").select("key", "n")]
+    for depth in range(order, 0, -1):
+        shorter = levels[0].select(_low("key", depth).alias("key"), "n")
+        levels.insert(0, materialize(shorter.groupBy("key").agg(F.sum("n").alias("n")), "grams"))
+    contexts: list[DataFrame] = []
+    for depth, level in enumerate(levels):
+        lower, below = (levels[depth - 1], contexts[-1]) if depth else (None, None)
+        contexts.append(materialize(context_table(level, lower, below, depth, least), "contexts"))
+    asked: list[DataFrame] = []
+    for depth in range(order, -1, -1):
+        if asked:
+            wanted = asked[0].where("n is null").select(_low("key", depth + 1).alias("key")).distinct()
+            wanted = wanted.join(levels[depth].where(F.col("n") >= least), "key", "left")
+        else:
+            wanted = grams.select("key", "uses", F.when(F.col("n") >= least, F.col("n")).alias("n"))
+        known = contexts[depth].select("context", "total", "escape", "below_total", "below_escape")
+        wanted = wanted.withColumn("context", F.shiftrightunsigned("key", 8)).join(known, "context", "left")
+        # What only a gram that was not found needs is empty for the others, mostly the bulk.
+        wanted = wanted.withColumn("value", F.log((F.col("n") - 0.5) / F.col("total"))).withColumns(
+            {c: F.when(F.col("n").isNull(), F.col(c)) for c in ("escape", "below_total", "below_escape")}
+        )
+        asked.insert(0, materialize(wanted.drop("context", "total"), "asked"))
+    last = F.lit(math.log(1 / (256 - levels[0].where(F.col("n") >= least).count())))
+    # ``value`` is for a gram whose longer contexts are unknown, ``after`` for one that has escaped from a known one.
+    missed = F.when(F.col("escape").isNotNull(), F.col("escape") + last).otherwise(last)
+    done = asked[0].withColumns({"value": F.coalesce("value", missed), "after": last})
+    for depth in range(1, order + 1):
+        done = done.select(F.col("key").alias("_at"), F.col("n").alias("_n"), F.col("value").alias("_value"), F.col("after").alias("_after"))
+        rows = asked[depth].withColumn("_at", F.when(F.col("n").isNull(), _low("key", depth)))
+        after = F.when(F.col("_n").isNotNull(), F.log(F.col("_n") - 0.5) - F.col("below_total"))
+        after = after.otherwise(F.col("below_escape") + F.col("_after"))
+        missed = rows.where("n is null").join(done, "_at").withColumn("after", after)
+        missed = missed.withColumn("value", F.coalesce(F.col("escape") + F.col("after"), F.col("_value")))
+        found = rows.where("n is not null").withColumn("after", F.lit(None).cast("double"))
+        names = ["key", "uses", "value"] if depth == order else ["key", "n", "value", "after"]
+        done = materialize(found.select(*names).unionByName(missed.select(*names)), "values")
+    return done.select("key", "uses", "value")
 
 
 class Lookup:
@@ -223,44 +234,20 @@ class Lookup:
 
 
 class Model:
-    """Scores texts by the arrays of ``weights``."""
-
-    def __init__(self, arrays: dict):
-        self.levels = arrays["levels"]
-        self.order = len(self.levels) - 1
-        for level in self.levels:
-            level["find"] = Lookup(level["keys"])
-            level["find_context"] = Lookup(level["contexts"])
-        self.last = math.log(1 / (256 - len(self.levels[0]["keys"])))
-
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text with its end."""
-        keys, starts = grams_of(texts, self.order)
-        out = np.zeros(len(keys))
-        left = np.arange(len(keys))
-        # Of the context one byte longer, where it is in the trie: what to subtract for a hit and to add for an escape.
-        above = np.full(len(keys), -1)
-        for depth in range(self.order, -1, -1):
-            level = self.levels[depth]
-            wanted = keys[left] & U64((1 << (8 * (depth + 1))) - 1)
-            place = level["find"].find(wanted)
-            longer = self.levels[depth + 1] if depth < self.order else None
-            hit = place >= 0
-            inside = above >= 0
-            plain = hit & ~inside
-            out[left[plain]] += level["top"][place[plain]]
-            if longer is not None:
-                both = hit & inside
-                out[left[both]] += level["log_n"][place[both]] - longer["below_total"][above[both]]
-                gone = ~hit & inside
-                out[left[gone]] += longer["below_escape"][above[gone]]
-            context = level["find_context"].find(wanted[~hit] >> U64(8))
-            fresh = ~inside[~hit] & (context >= 0)
-            left = left[~hit]
-            out[left[fresh]] += level["escape"][context[fresh]]
-            above = context
-        out[left] += self.last
-        return np.add.reduceat(out, starts[:-1]) / math.log(10) if len(starts) > 1 else np.zeros(0)
+    """The logarithms of the frequent grams."""
+
+    def __init__(self, arrays: dict, order: int):
+        self._find, self._values, self._order = Lookup(arrays["keys"]), arrays["values"], order
+
+    def score(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
+        """The sum over the frequent grams of each text with its end, and the list of its other grams."""
+        keys, starts = grams_of(texts, self._order)
+        place = self._find.find(keys)
+        hit = place >= 0
+        logs = np.zeros(len(keys))
+        logs[hit] = self._values[place[hit]]
+        others = np.concatenate([[0], np.cumsum(~hit)])[starts]
+        return np.add.reduceat(logs, starts[:-1]), lists(others, pa.array(keys[~hit].astype(np.int64)))
 
 
 _models: dict = {}
@@ -268,11 +255,11 @@ _models: dict = {}
 
 def _prepared(shared) -> tuple[Model, dict]:
     """The model of a broadcast, its tables built once in each worker."""
-    arrays, words = shared.value
+    arrays, words, order = shared.value
     if arrays["id"] not in _models:
         _models.clear()
         known = {w: math.log10(c + 1) for w, c in zip(words["word"], words["c"])}
-        _models[arrays["id"]] = (Model(arrays), known)
+        _models[arrays["id"]] = (Model(arrays, order), known)
     return _models[arrays["id"]]
 
 
@@ -282,16 +269,17 @@ def score_documents(
     key: str = "doc_id",
     text: str = "text",
     order: int = ORDER,
-    keep_bits: int = KEEP_BITS,
+    keep_bits: int | None = None,
     word_bits: int = WORD_BITS,
+    gram_bits: int = GRAM_BITS,
 ) -> DataFrame:
     """``(key, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row.
 
     ``learns`` says which rows the model is trained on; all rows are scored. Training counts every text in full: each
-    task adds up its contexts and words, Spark adds up the tasks. The trie is kept to nodes of a relative frequency
-    (``keep_bits``), the list of frequent words likewise (``word_bits``): both are the same rule at every size and bound
-    what is broadcast. Other words are looked up by a join, in which no word is frequent. ``base_score`` is the word
-    model with one added to each count.
+    task adds up its contexts and words, Spark adds up the tasks. The trie keeps every counted node, whatever the corpus holds, unless
+    ``keep_bits`` is given. The logarithms of the frequent grams (``gram_bits``) and the frequent words (``word_bits``) are
+    broadcast, which bounds what each worker holds; other grams and words of a text are looked up by joins, in which
+    none is frequent. ``base_score`` is the word model with one added to each count.
     Null and empty texts hold only their end; null and repeated keys are rows like others; with nothing to learn from,
     every byte is equally likely. Other columns are not read.
     """
@@ -299,23 +287,28 @@ def score_documents(
     bounded_batches(spark)
     rows = docs.select(F.col(key).alias("_key"), (~learns).alias("_held"), text_bytes(F.col(text)).alias("_text"))
     training = rows.where(~F.col("_held"))
-    arrays = train(count_grams(training, order), order, keep_bits)
+    values = log_probabilities(materialize(count_grams(rows, order), "grams"), order, keep_bits)
+    symbols = values.agg(F.sum("uses")).first()[0] or 0
+    common = F.col("uses") * F.lit(1 << gram_bits) >= F.lit(symbols)
+    top = values.where(common).select("key", F.col("value").cast("float").alias("value")).toArrow()
+    arrays = {"id": uuid.uuid4().hex, "keys": top["key"].to_numpy().astype(U64), "values": top["value"].to_numpy()}
     counts = materialize(count_words(training), "words")
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
     frequent = F.col("c") * F.lit(1 << word_bits) >= F.lit(n)
     words = counts.where(frequent).toArrow().to_pydict()
-    shared = spark.sparkContext.broadcast((arrays, words))
+    shared = spark.sparkContext.broadcast((arrays, words, order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = _prepared(shared)
         schema = pa.schema(
-            [("_row_tokens", pa.int64()), ("_found", pa.int64()), ("_logs", pa.float64()), ("score", pa.float64())]
+            [("_row_tokens", pa.int64()), ("_found", pa.int64()), ("_logs", pa.float64())]
             + [("_rare", pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))]
         )
+        names = ["_key", "_held", *schema.names, "_score", "_grams"]
         for batch, texts in chunks(batches, "_text", 1 << 19):
             texts = [t.lower() for t in texts]
-            out = {name: [] for name in schema.names if name != "score"}
+            out = {name: [] for name in schema.names}
             for t in texts:
                 tokens = t.split()
                 tokens.append(b"")
@@ -325,23 +318,29 @@ def score_documents(
                 out["_logs"].append(sum(logs))
                 rare = Counter(w for w in tokens if w not in known) if len(logs) < len(tokens) else {}
                 out["_rare"].append([{"word": w, "times": c} for w, c in rare.items()])
-            found = pa.RecordBatch.from_pydict({**out, "score": model.score(texts)}, schema=schema)
-            columns = [batch.column("_key"), batch.column("_held"), *found.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=["_key", "_held", *schema.names])
+            found = pa.RecordBatch.from_pydict(out, schema=schema)
+            sums, grams = model.score(texts)
+            columns = [batch.column("_key"), batch.column("_held"), *found.columns, pa.array(sums), grams]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    columns = "_held boolean, _row_tokens long, _found long, _logs double, score double, _rare array<struct<word: binary, times: bigint>>"
+    columns = "_held boolean, _row_tokens long, _found long, _logs double, _rare array<struct<word: binary, times: bigint>>"
+    columns += ", _score double, _grams array<bigint>"
     schema = keyed_schema(rows, columns)
     scored = materialize(rows.mapInArrow(run, schema).withColumn("_row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("_row", F.explode("_rare").alias("r")).select("_row", "r.word", "r.times")
     known = rare.join(counts.where(~frequent), "word").groupBy("_row")
     known = known.agg(F.sum("times").alias("_more"), F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("_more_logs"))
     base = F.col("_logs") + F.coalesce("_more_logs", F.lit(0.0)) - F.col("_row_tokens") * F.lit(math.log10(n + v + 1))
-    return scored.join(known, "_row", "left").select(
+    others = scored.select("_row", F.explode("_grams").alias("key"))
+    others = others.join(values.where(~common).select("key", "value").hint("shuffle_hash"), "key").groupBy("_row")
+    others = others.agg(F.sum("value").alias("_more_score"))
+    score = (F.col("_score") + F.coalesce("_more_score", F.lit(0.0))) / F.lit(math.log(10))
+    return scored.join(known, "_row", "left").join(others, "_row", "left").select(
         F.col("_key").alias(key),
         F.col("_held").alias("held_out"),
         F.col("_row_tokens").alias("n_tokens"),
         (F.col("_found") + F.coalesce("_more", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        score.alias("score"),
     )

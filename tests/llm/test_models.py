@@ -84,6 +84,22 @@ def test_scores_equal_plain_counting(spark, order, keep_bits, word_bits):
     np.testing.assert_allclose([r[5:] for r in found], [r[5:] for r in expected], rtol=1e-4, atol=1e-4)
 
 
+@pytest.mark.parametrize("options", [{}, {"gram_bits": 3}])
+def test_scores_keep_rare_contexts_of_large_corpora(spark, options):
+    often, rare = "lang " * 3000, "zyxwvut qpo\u00e9"
+    repeated = spark.range(300).select(F.lit(1).alias("doc_id"), F.lit(often).alias("text"))
+    docs = repeated.unionByName(spark.createDataFrame([(2, rare), (3, rare + " lanzyx")], "doc_id int, text string"))
+    plain = PlainModel([], 6, 1)
+    for text, times in ((often, 300), (rare, 1)):
+        for context, found in PlainModel([text.encode()], 6, 1).counts.items():
+            for symbol, n in found.items():
+                plain.counts[context][symbol] += n * times
+    assert sum(plain.counts[b""].values()) > 1 << 22
+    plain.kept = plain.counts
+    got = {r.doc_id: r.score for r in ppm.score_documents(docs, F.col("doc_id") < 3, **options).where("doc_id > 1").collect()}
+    assert got == pytest.approx({2: plain.score(rare.encode()), 3: plain.score((rare + " lanzyx").encode())}, abs=1e-4)
+
+
 def test_scores_without_training(spark):
     docs = odd_documents(spark)
     row = ppm.score_documents(docs, F.lit(False)).where("doc_id = 3").first()
