@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -22,6 +23,8 @@ PIECES = 400
 LEAST_ROWS = 5
 FOLDS = 4
 SHORTEST, LONGEST = 4, 6
+#: Bins of one unit of a logit in the histograms that the threshold comes from.
+BINS = 1_000
 
 
 def pieces_of(word: bytes) -> tuple[int, ...]:
@@ -99,8 +102,7 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) ->
     """One linear model for each column of ``labels``, in order.
 
     A later model is trained with the probabilities that the earlier ones give to rows they have not seen: each fold is
-    judged by a model of the other folds, pieces chosen there too. The threshold of a category is the one that
-    has the best F1 on such probabilities.
+    judged by a model of the other folds, pieces chosen there too. Such probabilities are ``unseen``.
     """
     chain: list[dict] = []
     before: list[np.ndarray] = []
@@ -114,20 +116,26 @@ def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: np.ndarray) ->
             unseen[~seen] = _apply(x[~seen], fit_linear(x[seen], y[seen]))
         chosen = chosen_pieces(rows, y)
         w = fit_linear(_joined(presence(rows, chosen), before), y)
-        chain.append({"pieces": chosen, "weights": w, "threshold": _threshold(unseen, y)})
+        chain.append({"pieces": chosen, "weights": w, "unseen": unseen})
         before.append(unseen)
     return chain
 
 
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    order = np.argsort(-p, kind="stable")
-    hits = np.cumsum(y[order])
-    if not len(p) or not y.any():
+def bins_of(p: np.ndarray) -> np.ndarray:
+    return np.floor(_logit(p) * BINS).astype(np.int64)
+
+
+def best_threshold(bins: np.ndarray, rows: np.ndarray, hits: np.ndarray) -> float:
+    """The probability from which on rows are flagged at the best F1: ``rows`` and ``hits`` lie in ``bins``, which may repeat."""
+    bins, place = np.unique(bins, return_inverse=True)
+    rows, hits = np.bincount(place, rows)[::-1], np.bincount(place, hits)[::-1]
+    bins = bins[::-1]
+    if not hits.sum():
         return 1.0
-    f1 = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
-    best = int(f1.argmax())
-    low = p[order][best + 1] if best + 1 < len(p) else 0.0
-    return float((p[order][best] + low) / 2)
+    best = int((2 * np.cumsum(hits) / (np.cumsum(rows) + hits.sum())).argmax())
+    edge = lambda x: 1 / (1 + math.exp(-x / BINS))
+    # Halfway to the next lower bin that holds rows.
+    return edge((bins[best] + bins[best + 1] + 1) / 2) if best + 1 < len(bins) else edge(bins[best]) / 2
 
 
 class Judge:
@@ -152,9 +160,27 @@ class Judge:
         return out
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: Sequence[str], sample: int, folds: int) -> list[dict]:
-    """The chain, fitted in one task on at most ``sample`` labelled rows of each value of the last category."""
-    known = labels.dropna(subset=[key, *categories]).select(F.col(key).alias("_key"), *[F.col(c).cast("int").alias(c) for c in categories])
+def known_labels(labels: DataFrame, key: str, categories: Sequence[str]) -> DataFrame:
+    return labels.dropna(subset=[key, *categories]).select(F.col(key).alias("_key"), *[F.col(c).cast("int").alias(c) for c in categories])
+
+
+def threshold_over_all(judged: DataFrame, known: DataFrame, used: DataFrame, chain: list[dict], category: str) -> float:
+    """The best-F1 threshold of the last category over all labelled rows: those of the fit by their unseen probabilities, the
+    others by those of ``judged``. Spark adds up one histogram for each label; it has a bounded number of bins.
+    """
+    rest = known.groupBy("_key").agg(F.min(category).alias("_y")).join(F.broadcast(used.select("_key")), "_key", "left_anti")
+    p = judged.where("_key is not null").groupBy("_key").agg(F.min(f"p_{category}").alias("_p"))
+    p = p.join(rest, "_key").withColumn("_p", F.least(F.greatest("_p", F.lit(1e-6)), F.lit(1 - 1e-6)))
+    bin_ = F.floor(F.log(F.col("_p") / (1 - F.col("_p"))) * BINS).cast("long")
+    found = p.groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("rows"), F.sum("_y").alias("hits")).toArrow()
+    columns = [found[c].to_numpy().astype(np.int64) for c in ("bin", "rows", "hits")]
+    own = [bins_of(chain[-1]["unseen"]), np.ones(len(chain[-1]["unseen"]), np.int64), chain[-1]["labels"].astype(np.int64)]
+    return best_threshold(*[np.concatenate(pair) for pair in zip(columns, own)])
+
+
+def train(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: Sequence[str], sample: int, folds: int) -> tuple[list[dict], DataFrame]:
+    """The chain, fitted in one task on at most ``sample`` labelled rows of each value of the last category, and those rows."""
+    known = known_labels(labels, key, categories)
     by = F.xxhash64("_key", F.lit(11))
     picked = None
     for value in (0, 1):
@@ -175,12 +201,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, categories: S
             keys += batch.column("_key").to_pylist()
         values = np.concatenate(found) if found else np.zeros((0, len(names)), int)
         turn = np.array([zlib.crc32(str(k).encode()) % folds for k in keys], int)
-        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(fit_chain(rows, values, turn))]})
+        chain = fit_chain(rows, values, turn)
+        chain[-1]["labels"] = values[:, -1]
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(chain)]})
 
     import pickle
 
-    bounded = materialize(joined, "sample").coalesce(1).sortWithinPartitions("_key")
-    return pickle.loads(bounded.mapInArrow(fit, "model binary").first()["model"])
+    stored = materialize(joined, "sample")
+    bounded = stored.coalesce(1).sortWithinPartitions("_key")
+    return pickle.loads(bounded.mapInArrow(fit, "model binary").first()["model"]), stored
 
 
 def toxicity(
@@ -195,22 +224,24 @@ def toxicity(
     """``(key, p_<category>..., <last category>)`` of every row; the last column says whether its threshold is reached.
 
     Labels are 0 or 1; the chain runs in the order of ``categories``. All rows are judged; only the fit is on a bounded
-    sample. Rows of labels with a null, or without a document, are not used; of rows that repeat a key one is.
+    sample, the threshold of the last category is the one with the best F1 over all labelled rows. Rows of labels with a null, or without a document, are not used; of rows that repeat a key one is.
     A null or empty text has no pieces. Without labels of both values every probability is one half or that of the
     single value. Null and repeated keys are judged like others; other columns are not read.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(train(docs, labels, key, text, categories, sample, folds))
+    chain, used = train(docs, labels, key, text, categories, sample, folds)
+    shared = spark.sparkContext.broadcast([{name: c[name] for name in ("pieces", "weights")} for c in chain])
     rows = docs.select(F.col(key).alias("_key"), text_bytes(F.col(text)).alias("_text"))
     names = [f"p_{c}" for c in categories]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge, least = Judge(shared.value), shared.value[-1]["threshold"]
+        judge = Judge(shared.value)
         for batch, texts in chunks(batches, "_text"):
-            found = judge(texts)
-            columns = [batch.column("_key"), *[pa.array(p.astype(float)) for p in found], pa.array(found[-1] >= least)]
-            yield pa.RecordBatch.from_arrays(columns, names=["_key", *names, categories[-1]])
+            columns = [batch.column("_key"), *[pa.array(p.astype(float)) for p in judge(texts)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["_key", *names])
 
-    schema = keyed_schema(rows, ", ".join([f"{n} double" for n in names] + [f"{categories[-1]} boolean"]))
-    return rows.mapInArrow(run, schema).withColumnRenamed("_key", key)
+    schema = keyed_schema(rows, ", ".join(f"{n} double" for n in names))
+    judged = materialize(rows.mapInArrow(run, schema), "judged")
+    least = threshold_over_all(judged, known_labels(labels, key, categories), used, chain, categories[-1])
+    return judged.withColumn(categories[-1], F.col(names[-1]) >= F.lit(least)).withColumnRenamed("_key", key)

@@ -181,6 +181,17 @@ def test_chain_finds_planted_words(spark):
     assert chains.toxicity(no_documents(spark), table).count() == 0
 
 
+def test_threshold_covers_all_labels(spark):
+    rng = random.Random(4)
+    rows = [(i, "doubtful word" if i % 3 == 0 else "clean word", i % 3 == 0 and rng.random() < 0.15) for i in range(3000)]
+    rows += [(3000 + i, "vile word", True) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(toxic)) for i, _, toxic in rows], "doc_id long, quality int, toxic int")
+    # Of all rows, 85 in 100 doubtful ones are clean; of a sample with as many toxic as clean rows, far fewer.
+    small = chains.toxicity(docs, labels, sample=200).join(docs, "doc_id").groupBy("text").agg(F.max("toxic").alias("t")).collect()
+    assert {r.text: r.t for r in small} == {"clean word": False, "doubtful word": False, "vile word": True}
+
+
 def test_later_models_are_fed_by_earlier_ones():
     rng = np.random.default_rng(0)
     rows = [np.sort(rng.choice(np.arange(10, 60, dtype=np.uint32), 5, replace=False)) for _ in range(400)]
