@@ -19,7 +19,10 @@ RULES = (
     ("block", "com", "/de/"),
 )
 DAMPING = 0.85
-ROUNDS = 10
+#: The ranks have settled when those of no host have changed by more than this share since the last written table.
+SETTLED = 1e-6
+#: More rounds than this are an error, not an end.
+MOST_ROUNDS = 5_000
 #: Rounds between two written tables.
 CUT = 5
 #: A host is blocked if this share of what reached it is distrust.
@@ -72,12 +75,13 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(under).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def flow(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``(host, trust, distrust)`` after ``rounds`` of personalised PageRank.
+def flow(edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING) -> DataFrame:
+    """``(host, trust, distrust)`` of personalised PageRank, when it has settled at every host, or after ``rounds``.
 
     Trust starts at trusted hosts and follows links; distrust starts at blocked hosts and goes against them, to those
     that link to blocked hosts. ``seeds`` has ``(host, trust, distrust)``. Each round is one join and one sum over
-    host edges; the ranks are written every few rounds, so a lost executor repeats little.
+    host edges; the ranks are written every few rounds, so a lost executor repeats little. Then they are compared with
+    those written before, host by host, since a verdict is by shares however little has reached a host.
     """
     out_sum = edges.groupBy(F.col("src").alias("from")).agg(F.sum("n").alias("_all"))
     in_sum = edges.groupBy(F.col("dst").alias("from")).agg(F.sum("n").alias("_all"))
@@ -89,7 +93,8 @@ def flow(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: floa
     )
     steps = materialize(steps.groupBy("from", "to").agg(F.sum("wt").alias("wt"), F.sum("wd").alias("wd")), "steps")
     ranks = seeds = materialize(seeds, "seeds")
-    for turn in range(rounds):
+    written = ranks
+    for turn in range(MOST_ROUNDS if rounds is None else rounds):
         sent = steps.join(ranks.withColumnRenamed("host", "from"), "from").select(
             F.col("to").alias("host"), (F.lit(damping) * F.col("trust") * F.col("wt")).alias("trust"), (F.lit(damping) * F.col("distrust") * F.col("wd")).alias("distrust")
         )
@@ -97,16 +102,29 @@ def flow(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: floa
         ranks = sent.unionByName(kept).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
         if (turn + 1) % CUT == 0 or turn + 1 == rounds:
             ranks = materialize(ranks, "ranks")
+            if rounds is None and _settled(ranks, written):
+                return ranks
+            written = ranks
+    if rounds is None:
+        raise RuntimeError("link graph did not settle")
     return ranks
 
 
+def _settled(ranks: DataFrame, before: DataFrame) -> bool:
+    old = before.select("host", F.col("trust").alias("_trust"), F.col("distrust").alias("_distrust"))
+    moved = F.lit(False)
+    for name in ("trust", "distrust"):
+        moved = moved | (F.abs(F.col(name) - F.coalesce(f"_{name}", F.lit(0.0))) > SETTLED * F.col(name))
+    return ranks.join(old, "host", "left").where(moved).limit(1).count() == 0
+
+
 def judge(
     pages: DataFrame,
     rules: Sequence[tuple[str, str, str]] = RULES,
     key: str = "page_id",
     url: str = "url",
     html: str = "html",
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
     damping: float = DAMPING,
     blocked: float = BLOCKED,
 ) -> DataFrame:

@@ -308,3 +308,13 @@ def test_link_graph_equals_brute_force(spark):
     assert {r.verdict for r in got.where("rule is null and host <> ''").collect()} == {"allow", "block"}
     assert linkgraph.judge(df.limit(0)).count() == 0
     assert linkgraph.judge(df, rules=()).where("verdict <> 'allow' or rule is not null").count() == 0
+
+
+def test_distrust_reaches_far_hosts(spark):
+    """A host that comes to a blocked one by fifteen links is blocked, in pages with a single seed."""
+    pages = [(0, "http://h0.test/", "")] + [(i, f"http://h{i}.net/", f'<a href="//h{i - 1}.{"net" if i > 1 else "test"}/">') for i in range(1, 16)]
+    df = spark.createDataFrame(pages, "page_id int, url string, html string")
+    got = {r.page_id: r for r in linkgraph.judge(df, rules=(("block", "test", "/"),)).collect()}
+    assert {r.verdict for r in got.values()} == {"block"}
+    for i in (0, 1, 15):
+        assert got[i].distrust == pytest.approx(0.15 * 0.85**i)
