@@ -1,19 +1,23 @@
-"""MinHash bands and exact Jaccard: which token sets of one group are near copies."""
+"""Which token sets of one group are near copies: a complete similarity join by prefixes of rare tokens.
+
+Two sets of likeness t or more share a token among the rarest ``n - ceil(t * n) + 1`` of either, so only these tokens
+are indexed. Sets that meet under a token are compared in full. No pair of that likeness is missed.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.functions.patterns import let
 from newsloom.operators.components import connected_components, star_edges
-from newsloom.operators.keyed import HOT_ROWS, salted_join
+from newsloom.operators.keyed import HOT_ROWS, MAX_HOT_KEYS, salted_join
 from newsloom.session import materialize
 
-# Prime below 2**31, so that h1 + k * h2 stays far inside 64 bits.
-PRIME = 2_147_483_647
+# A token with more members than this is split by a second token; up to this many, members meet in pairs.
+SMALL = 32
 
 
 def shingles(text: Column, width: int = 3) -> Column:
@@ -34,69 +38,130 @@ def shingles(text: Column, width: int = 3) -> Column:
     return F.array_distinct(let(words, runs))
 
 
-def signatures(rows: DataFrame, group: Sequence[str], node: str, tokens: str, count: int) -> DataFrame:
-    """``(group, node, digest, m0 .. m{count-1})``: an order-free digest of the token set and its MinHash values.
+def hashed_sets(rows: DataFrame, group: Sequence[str], node: str, tokens: str) -> DataFrame:
+    """``(group, node, digest, set)``, stored: 64-bit token hashes in order, and a digest equal for equal sets only."""
+    hashes = F.array_sort(F.transform(tokens, lambda t: F.xxhash64(t)))
+    hashed = rows.where(F.size(tokens) > 0).select(*group, F.col(node).alias("node"), hashes.alias("set"))
+    digest = F.concat_ws("/", F.size("set"), F.hex(F.xxhash64("set")), F.hex(F.xxhash64(F.reverse("set"))))
+    return materialize(hashed.select(*group, "node", digest.alias("digest"), "set"), "sets")
+
+
+def shared_tokens(sets: DataFrame, group: Sequence[str], threshold: float, **join) -> DataFrame:
+    """``(group, node, n, shared, need)``, stored: tokens that other sets hold too, rarest first.
 
-    Each token gives two 32-bit numbers, from its MD5. Hashing and minimum run over exploded tokens, so they are a
-    map-side aggregate in generated code, and the token lists themselves are never shuffled or stored.
+    A token of one set alone takes a place of its prefix but links nothing, so the first ``need`` shared tokens are
+    what remains of the prefix. Sets without any leave here: they are like no other.
     """
-    keys = [*group, F.col(node).alias("node")]
-    hashed = rows.select(*keys, F.explode(tokens).alias("t")).select(*group, "node", F.md5("t").alias("h"))
-    halves = hashed.select(
-        *group, "node", *[F.conv(F.substring("h", at, 8), 16, 10).cast("bigint").alias(name) for name, at in (("a", 1), ("b", 9))]
-    )
-    both = F.shiftleft("a", 32).bitwiseOR(F.col("b"))
-    minima = [F.min((F.col("a") + F.lit(k) * F.col("b")) % F.lit(PRIME)).alias(f"m{k}") for k in range(count)]
-    signed = halves.groupBy(*group, "node").agg(
-        F.count(F.lit(1)).alias("_size"), F.bit_xor(both).alias("_x"), F.bit_xor(F.xxhash64("a", "b")).alias("_y"), *minima
-    )
-    digest = F.concat_ws("/", "_size", F.hex("_x"), F.hex("_y")).alias("digest")
-    return signed.select(*group, "node", digest, *[f"m{k}" for k in range(count)])
+    group = list(group)
+    tokens = sets.select(*group, "node", F.size("set").alias("n"), F.explode("set").alias("t"))
+    held = tokens.groupBy(*group, "t").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    held = materialize(held, "frequencies")
+    hot_rows = join.get("hot_rows", HOT_ROWS)
+    hot = held.where(F.col("f") >= hot_rows).orderBy(F.desc("f")).limit(MAX_HOT_KEYS)
+    met = salted_join(tokens, held, [*group, "t"], spread=["node"], hot=hot, **join)
+    listed = met.groupBy(*group, "node", "n").agg(F.array_sort(F.collect_list(F.struct("f", "t")))["t"].alias("shared"))
+    # The small step back keeps a product that is whole but for rounding from being raised to the next number.
+    prefix = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1
+    need = (prefix - (F.col("n") - F.size("shared"))).cast("int")
+    return materialize(listed.withColumn("need", need).where("need > 0"), "shared")
+
+
+def similar_pairs(pairs: DataFrame, sets: DataFrame, group: Sequence[str], threshold: float, **join) -> DataFrame:
+    """The pairs ``(group, src, dst)`` whose Jaccard similarity over the whole sets is at least ``threshold``, stored."""
+    group = list(group)
+    pairs = stored = materialize(pairs, "pairs")
+    for end, other in (("src", "dst"), ("dst", "src")):
+        side = sets.select(*group, F.col("node").alias(end), F.col("n").alias(f"_n_{end}"), F.col("shared").alias(f"_{end}"))
+        pairs = salted_join(pairs, side, [*group, end], spread=[other], hot_from=stored, **join)
+    # Tokens of one set alone are in no intersection, so the shared ones are enough for it.
+    both = F.size(F.array_intersect("_src", "_dst"))
+    jaccard = both / (F.col("_n_src") + F.col("_n_dst") - both)
+    return materialize(pairs.where(jaccard >= threshold).select(*group, "src", "dst"), "links")
 
 
-def distinct_sets(signed: DataFrame, group: Sequence[str]) -> DataFrame:
-    """One row per distinct token set, under its smallest node: copies of one text take part as one."""
-    values = [c for c in signed.columns if c.startswith("m")]
-    return signed.groupBy(*group, "digest").agg(F.min("node").alias("node"), *[F.min(c).alias(c) for c in values])
+def _labelled(members: DataFrame, links: DataFrame, group: list[str], **join) -> tuple[DataFrame, DataFrame]:
+    """The members with the component that the links found so far put them in, and the components."""
+    labels = materialize(connected_components(links, group, **join), "labels")
+    found = members.drop("label").join(labels, [*group, "node"], "left")
+    return found.withColumn("label", F.coalesce("component", "node")).drop("component"), labels
 
 
-def band_rows(signed: DataFrame, group: Sequence[str], bands: int, rows: int) -> DataFrame:
-    keys = [
-        F.struct(
-            F.lit(b).alias("band"),
-            F.concat_ws("-", *[F.col(f"m{k}").cast("string") for k in range(b * rows, (b + 1) * rows)]).alias("value"),
-        )
-        for b in range(bands)
-    ]
-    return signed.select(*group, "node", F.explode(F.array(*keys)).alias("k")).select(*group, "node", "k.*")
+def _open(members: DataFrame, bucket: list[str], **join) -> DataFrame:
+    """Members of buckets that hold more than one component, with the number of members, stored."""
+    members = materialize(members, "members")
+    sizes = members.groupBy(*bucket).agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("_a"), F.max("label").alias("_b"))
+    sizes = materialize(sizes.where("_a < _b").drop("_a", "_b"), "open")
+    hot = sizes.where(F.col("size") >= join.get("hot_rows", HOT_ROWS)).orderBy(F.desc("size")).limit(MAX_HOT_KEYS)
+    return materialize(salted_join(members, sizes, bucket, spread=["node"], hot=hot, **join), "members")
 
 
-def candidate_pairs(sets: DataFrame, group: Sequence[str], bands: int, rows: int, **join) -> DataFrame:
-    """``(group, src, dst)``: every set of a band bucket with the first and with the last node of the bucket."""
-    group = list(group)
-    buckets = materialize(band_rows(sets, group, bands, rows), "bands")
-    pairs = star_edges(buckets, [*group, "band", "value"], "node", group, **join)
-    return pairs.select(*group, F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+def _near(pairs: DataFrame, group: list[str], threshold: float) -> DataFrame:
+    """Pairs of different components whose sizes allow the likeness, each once."""
+    sizes = F.least("src.n", "dst.n") >= F.greatest("src.n", "dst.n") * F.lit(threshold) - F.lit(1e-9)
+    pairs = pairs.where((F.col("src.label") != F.col("dst.label")) & sizes)
+    ends = F.least("src.node", "dst.node").alias("src"), F.greatest("src.node", "dst.node").alias("dst")
+    return pairs.select(*group, *ends).distinct()
 
 
-def similar_pairs(
-    pairs: DataFrame, rows: DataFrame, group: Sequence[str], node: str, tokens: str, threshold: float, **join
-) -> DataFrame:
-    """The pairs whose Jaccard similarity over the whole token sets is at least ``threshold``."""
+def _within(members: DataFrame, bucket: list[str], group: list[str], threshold: float) -> DataFrame:
+    """All pairs inside buckets of at most ``SMALL`` members: at most half of ``SMALL`` for each member."""
+    listed = members.groupBy(*bucket).agg(F.collect_list(F.struct("node", "n", "label")).alias("m"))
+    one = listed.select(*group, "m", F.posexplode("m").alias("i", "src"))
+    two = one.select(*group, "src", F.explode(F.slice("m", F.col("i") + 2, F.lit(SMALL))).alias("dst"))
+    return _near(two, group, threshold)
+
+
+def complete_links(sets: DataFrame, group: Sequence[str], threshold: float, **join) -> DataFrame:
+    """``(group, src, dst)`` pairs of like sets whose components are those of all like pairs.
+
+    Members of a token are first compared with its first and last member, which joins near copies at once. Pairs are
+    left only where a token still holds several components: all of them under up to ``SMALL`` members; above, members
+    must share a second token as well; and where still more share both, some members at a time meet all others.
+    """
     group = list(group)
-    pairs = stored = materialize(pairs, "pairs")
-    ends = pairs.select(*group, F.explode(F.array("src", "dst")).alias(node)).distinct()
-    # Tokens are made again for the few rows that have a candidate, rather than kept for all.
-    needed = rows.join(ends, [*group, node], "left_semi")
-    sets = materialize(
-        needed.select(*group, F.col(node).alias("node"), F.transform(tokens, lambda t: F.xxhash64(t)).alias("set")), "sets"
+    bucket = [*group, "t"]
+    prefix = F.slice("shared", 1, F.col("need"))
+    index = sets.select(*group, "node", "n", F.explode(prefix).alias("t"))
+    index = materialize(index, "index")
+    links = similar_pairs(star_edges(index, bucket, "node", group, **join), sets, group, threshold, **join)
+    members, _ = _labelled(index, links, group, **join)
+    members = _open(members, bucket, **join)
+    links = links.unionByName(
+        similar_pairs(_within(members.where(F.col("size") <= SMALL), bucket, group, threshold), sets, group, threshold, **join)
     )
-    for end, other in (("src", "dst"), ("dst", "src")):
-        side = sets.select(*group, F.col("node").alias(end), F.col("set").alias(f"_{end}"))
-        pairs = salted_join(pairs, side, [*group, end], spread=[other], hot_from=stored, **join)
-    both = F.size(F.array_intersect("_src", "_dst"))
-    jaccard = both / (F.size("_src") + F.size("_dst") - both)
-    return pairs.where(jaccard >= threshold).select(*group, "src", "dst")
+    large = members.where(F.col("size") > SMALL)
+    if large.isEmpty():
+        return links
+    # Like sets share two tokens, the second one within one place more of the order, unless together they are tiny;
+    # tiny sets keep to the bucket of the one token.
+    wider = sets.select(*group, "node", F.slice("shared", 1, F.col("need") + 1).alias("_wide"))
+    placed = large.drop("size").join(wider, [*group, "node"])
+    at = F.array_position("_wide", F.col("t")).cast("int")
+    rest = F.slice("_wide", at + 1, F.size("_wide"))
+    double = placed.select(*bucket, "node", "n", F.explode(rest).alias("u"))
+    tiny = F.col("n") <= F.lit(1 / threshold + 1e-9)
+    double = double.unionByName(large.where(tiny).select(*bucket, "node", "n", F.col("t").alias("u")))
+    bucket = [*bucket, "u"]
+    members, _ = _labelled(double, links, group, **join)
+    members = _open(members, bucket, **join)
+    while True:
+        small = members.where(F.col("size") <= SMALL)
+        links = links.unionByName(similar_pairs(_within(small, bucket, group, threshold), sets, group, threshold, **join))
+        members = members.where(F.col("size") > SMALL)
+        if members.isEmpty():
+            return links
+        # The largest component of a bucket comes last, so it never has to be compared with itself.
+        share = members.groupBy(*bucket, "label").agg(F.count(F.lit(1)).alias("_share"))
+        ranked = members.join(share, [*bucket, "label"])
+        order = Window.partitionBy(*bucket).orderBy("_share", "label", "node")
+        heads = materialize(ranked.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= SMALL), "heads")
+        listed = heads.groupBy(*bucket).agg(F.collect_list(F.struct("node", "n", "label")).alias("heads"))
+        met = salted_join(members, listed, bucket, spread=["node"], **join)
+        pairs = met.select(*group, F.struct("node", "n", "label").alias("src"), F.explode("heads").alias("dst"))
+        links = links.unionByName(similar_pairs(_near(pairs, group, threshold), sets, group, threshold, **join))
+        left = members.join(heads.select(*bucket, "node"), [*bucket, "node"], "left_anti").drop("size")
+        members, _ = _labelled(left, links, group, **join)
+        members = _open(members, bucket, **join)
 
 
 def similar_groups(
@@ -105,31 +170,26 @@ def similar_groups(
     node: str,
     tokens: str,
     threshold: float = 0.5,
-    bands: int = 16,
-    band_width: int = 3,
     hot_rows: int = HOT_ROWS,
     small_bytes: int | None = None,
 ) -> DataFrame:
     """``(group, node, component)`` for every row: the smallest node of its connected near copies.
 
-    ``tokens`` is a column of distinct strings. A row without tokens is alone.
+    ``tokens`` is a column of distinct strings. A row without tokens is alone. Complete: any two rows of a group whose
+    Jaccard similarity is at least ``threshold`` are in one component.
     """
     group = list(group)
     join = {"hot_rows": hot_rows, "small_bytes": small_bytes}
-    signed = materialize(signatures(rows, group, node, tokens, bands * band_width), "signatures")
-    sets = distinct_sets(signed, group)
-    candidates = candidate_pairs(sets, group, bands, band_width, **join)
-    pairs = similar_pairs(candidates, rows, group, node, tokens, threshold, **join)
-    labels = connected_components(pairs, group, **join)
-    roots = (
-        signed.groupBy(*group, "digest")
-        .agg(F.min("node").alias("node"))
-        .join(labels, [*group, "node"], "left")
-        .select(*group, "digest", F.coalesce("component", "node").alias("component"))
-    )
+    hashed = hashed_sets(rows, group, node, tokens)
+    # One row per distinct set, under its smallest node: copies of one text take part as one.
+    first = materialize(hashed.groupBy(*group, "digest").agg(F.min("node").alias("node")), "first")
+    distinct = hashed.join(first.select(*group, "node"), [*group, "node"], "left_semi")
+    sets = shared_tokens(distinct, group, threshold, **join)
+    links = complete_links(sets, group, threshold, **join)
+    labels = connected_components(links, group, **join)
+    roots = first.join(labels, [*group, "node"], "left").select(*group, "digest", F.coalesce("component", "node").alias("component"))
     # Copies of one text may be a large share of all rows, hence the salt.
-    found = salted_join(
-        signed.select(*group, "node", "digest"), roots, [*group, "digest"], spread=["node"], **join
-    ).select(*group, F.col("node").alias(node), "component")
+    found = salted_join(hashed.select(*group, "node", "digest"), roots, [*group, "digest"], spread=["node"], **join)
+    found = found.select(*group, F.col("node").alias(node), "component")
     alone = rows.where(F.coalesce(F.size(tokens), F.lit(0)) <= 0).select(*group, node, F.col(node).alias("component"))
     return found.unionByName(alone)

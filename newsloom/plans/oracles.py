@@ -128,25 +128,16 @@ one AS (SELECT event_id, event_type, event_id % 11 AS k,
       || strftime(ts, '%Y-%m-%d') || '","event_time":null,"location":"loc_' || (user_id % 7) || '","details":"d'
       || event_id || '"}' AS good FROM events)"""
 
-# Shingles, 48 MinHash values in 16 bands of 3, first and last member of each bucket, exact Jaccard, components.
+# Shingles, exact Jaccard of all pairs that share one, components.
 SIMILAR = """
 words AS (SELECT lang, doc_id + 1 AS n, list_filter(string_split_regex(lower(text), '\\s+'), lambda w: w <> '') AS w FROM documents),
 grams AS (SELECT lang, n, CASE WHEN len(w) = 0 THEN [] WHEN len(w) <= 3 THEN [array_to_string(w, ' ')]
     ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM words),
 dig AS (SELECT lang, n, g, md5(array_to_string(list_sort(g), chr(1))) AS digest FROM grams WHERE len(g) > 0),
 sets AS (SELECT lang, digest, min(n) AS node, any_value(g) AS g FROM dig GROUP BY 1, 2),
-hashes AS (SELECT lang, node, CAST('0x' || h[1:8] AS BIGINT) AS a, CAST('0x' || h[9:16] AS BIGINT) AS b
-           FROM (SELECT lang, node, md5(unnest(g)) AS h FROM sets)),
-mins AS (SELECT lang, node, k, min((a + k * b) % 2147483647) AS m
-         FROM hashes, (SELECT unnest(range(48)) AS k) GROUP BY 1, 2, 3),
-bands AS (SELECT lang, node, k // 3 AS band, string_agg(m, '-' ORDER BY k) AS v FROM mins GROUP BY 1, 2, 3),
-ends AS (SELECT lang, band, v, min(node) AS lo, max(node) AS hi FROM bands GROUP BY 1, 2, 3 HAVING min(node) < max(node)),
-cand AS (SELECT DISTINCT lang, least(node, e) AS x, greatest(node, e) AS y
-         FROM (SELECT bands.lang, node, unnest([lo, hi]) AS e FROM bands JOIN ends USING (lang, band, v)) WHERE node <> e),
-edge AS (SELECT lang, x, y FROM (
-    SELECT c.lang, x, y, len(list_intersect(p.g, q.g)) AS common, len(p.g) + len(q.g) AS total
-    FROM cand c JOIN sets p ON p.lang = c.lang AND p.node = x JOIN sets q ON q.lang = c.lang AND q.node = y)
-  WHERE common / (total - common) >= 0.5),
+tok AS (SELECT lang, node, len(g) AS n, unnest(g) AS t FROM sets),
+edge AS (SELECT p.lang, p.node AS x, q.node AS y FROM tok p JOIN tok q ON p.lang = q.lang AND p.t = q.t AND p.node < q.node
+  GROUP BY 1, 2, 3 HAVING count(*) >= 0.5 * (any_value(p.n) + any_value(q.n) - count(*))),
 reach AS (SELECT lang, node, node AS root FROM sets
           UNION SELECT r.lang, CASE WHEN e.x = r.node THEN e.y ELSE e.x END, r.root
           FROM reach r JOIN edge e ON e.lang = r.lang AND (e.x = r.node OR e.y = r.node)),

@@ -31,24 +31,58 @@ def texts():
     return out + ["", "one two", "one two"]
 
 
-@pytest.mark.parametrize("options", [{}, {"small_bytes": 0, "hot_rows": 3}])
-def test_groups_equal_brute_force_jaccard(spark, options):
-    data = list(enumerate(texts()))
-    parent = list(range(len(data)))
+def brute_force(sets, threshold=0.5):
+    """The smallest member of each one's component, over all pairs."""
+    parent = list(range(len(sets)))
 
     def find(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    sets = [grams(t) for _, t in data]
-    for i, j in combinations(range(len(data)), 2):
-        if sets[i] and sets[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.5:
+    for i, j in combinations(range(len(sets)), 2):
+        if sets[i] and sets[j] and len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= threshold:
             a, b = find(i), find(j)
             parent[max(a, b)] = min(a, b)
-    df = spark.createDataFrame(data, "n long, t string").select(F.lit("d").alias("g"), "n", similar.shingles(F.col("t")).alias("tokens"))
-    got = {r.n: r.component for r in similar.similar_groups(df, ["g"], "n", "tokens", **options).collect()}
-    assert got == {i: find(i) for i in range(len(data))}
+    return [find(i) for i in range(len(sets))]
+
+
+def components_of(spark, groups, **options):
+    """Found and true components of ``{group: list of token sets}``."""
+    data = [(g, n, sorted(s)) for g, sets in groups.items() for n, s in enumerate(sets)]
+    df = spark.createDataFrame(data, "g string, n long, tokens array<string>")
+    found = {(r.g, r.n): r.component for r in similar.similar_groups(df, ["g"], "n", "tokens", **options).collect()}
+    return found, {(g, n): c for g, sets in groups.items() for n, c in enumerate(brute_force(sets, options.get("threshold", 0.5)))}
+
+
+@pytest.mark.parametrize("options", [{}, {"small_bytes": 0, "hot_rows": 3}])
+def test_groups_equal_brute_force_jaccard(spark, options):
+    found, true = components_of(spark, {"d": [grams(t) for t in texts()]}, **options)
+    assert found == true
+
+
+def test_no_pair_of_random_groups_is_lost(spark):
+    rng = random.Random(8)
+    groups = {}
+    for g in range(100):
+        words = [f"w{i}" for i in range(rng.choice([6, 12, 40]))]
+        groups[f"g{g}"] = [set(rng.choices(words, k=rng.randrange(0, 9))) for _ in range(rng.randrange(1, 25))]
+    found, true = components_of(spark, groups)
+    assert found == true and sum(c != n for (_, n), c in true.items()) > 300
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.3, 0.8])
+def test_tokens_of_many_sets(spark, threshold):
+    """Hot tokens: sets that share one or two with hundreds like none, tiny ones, and chains between them."""
+    rng = random.Random(int(threshold * 10))
+    one = [{"hot", *(f"a{k}-{i}" for i in range(3))} for k in range(90)]
+    two = [{"hot", "warm", f"b{k}", f"b{k // 2}x"} for k in range(90)]
+    tiny = [{"hot"}, *({"hot", f"c{k}"} for k in range(60))]
+    chain = [{"hot", "warm", *(f"d{(k + i) % 50}" for i in range(7))} for k in range(50)]
+    sets = one + two + tiny + chain
+    rng.shuffle(sets)
+    found, true = components_of(spark, {"d": sets}, threshold=threshold)
+    assert found == true
 
 
 def test_merge_events(spark):
