@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsloom.functions.patterns import BLANK, let, strip
-from newsloom.operators.keyed import number_all, number_in_group, pack, spread
+from newsloom.operators.keyed import chunk_units, number_in_group, salted_join, spread
+from newsloom.operators.resolve import spelling_neighbours
+from newsloom.operators.similar import shingles, similar_groups
 from newsloom.session import is_complete, materialize
 
 EXTRACT_INSTRUCTIONS = (
@@ -40,21 +42,52 @@ def extraction_prompts(articles: DataFrame, instructions: str = EXTRACT_INSTRUCT
 
 
 def alias_prompts(names: DataFrame, instructions: str = UNIFY_INSTRUCTIONS, size: int = 2_000) -> DataFrame:
-    """``chunk, prompt``: instructions and the sorted names, one per line, ``size`` names to a prompt.
+    """``chunk, prompt``: instructions and the names, one per line, at most ``size`` names to a prompt.
 
-    Neighbours in sorted order share a prompt. Up to ``size`` names give the one prompt over all names.
+    Up to ``size`` names give the one prompt over all names. More are cut along neighbourhoods: names whose spellings
+    may be one lie in one prompt, whatever letter they begin with.
     """
-    numbered = number_all(names.select("value"), ["value"], "n", "names")
-    packed = pack(numbered, [], "n", F.col("value"), size, "names")
-    return packed.select("chunk", F.concat(F.lit(instructions + "\n"), F.array_join("names", "\n")).alias("prompt"))
+    rows = spelling_neighbours(names.select("value").distinct())
+    chunks = chunk_units(rows, [], "component", ["value"], size)
+    lines = chunks.groupBy("chunk").agg(F.array_join(F.array_sort(F.collect_list("value")), "\n").alias("names"))
+    return lines.select("chunk", F.concat(F.lit(instructions + "\n"), "names").alias("prompt"))
 
 
-def merge_prompts(events: DataFrame, instructions: str = MERGE_INSTRUCTIONS, size: int = 500) -> DataFrame:
-    """``event_date, chunk, prompt``: the JSON of a date's events, ``size`` events to a prompt."""
-    rows = events.withColumn("_n", F.col("id").cast("bigint"))
-    packed = pack(rows, ["event_date"], "_n", F.struct("id", "event", "details", "actors"), size, "events")
-    body = F.to_json(F.struct(F.col("events").alias("Events")), {"ignoreNullFields": "false"})
-    return packed.select("event_date", "chunk", F.concat(F.lit(instructions + "\n\n"), body).alias("prompt"))
+def merge_prompts(
+    events: DataFrame, instructions: str = MERGE_INSTRUCTIONS, size: int = 500, candidates: DataFrame | None = None
+) -> DataFrame:
+    """``event_date, chunk, prompt``: the JSON of a date's events, at most ``size`` events to a prompt.
+
+    A date of up to ``size`` events is one prompt. More are cut along ``candidates`` (``event_date, n, component``: events
+    that may be one; by default those whose words are near copies), so that these lie in one prompt. Inside candidates
+    that are more than ``size``, events of like and of equal words are kept together.
+    """
+    rows = events.select("event_date", F.col("id").cast("bigint").alias("n"), "id", "event", "details", "actors")
+    if candidates is None:
+        rows = materialize(rows, "events")
+        candidates = candidate_groups(rows)
+    rows = materialize(rows.join(candidates, ["event_date", "n"]), "candidates")
+    for threshold in (0.8, 1.0):
+        large = rows.groupBy("event_date", "component").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > size)
+        large = materialize(large.select("event_date", "component"), "large")
+        if large.isEmpty():
+            break
+        # The members of a large component are told apart more finely.
+        wide = materialize(salted_join(rows, large, ["event_date", "component"], "left_semi", spread=["n"]), "wide")
+        finer = candidate_groups(wide.drop("component"), threshold)
+        rest = salted_join(rows, large, ["event_date", "component"], "left_anti", spread=["n"])
+        rows = materialize(rest.unionByName(wide.drop("component").join(finer, ["event_date", "n"])), "candidates")
+    chunks = chunk_units(rows, ["event_date"], "component", ["n"], size)
+    item = F.struct("n", F.struct("id", "event", "details", "actors").alias("event"))
+    listed = chunks.groupBy("event_date", "chunk").agg(F.array_sort(F.collect_list(item))["event"].alias("Events"))
+    body = F.to_json(F.struct("Events"), {"ignoreNullFields": "false"})
+    return listed.select("event_date", "chunk", F.concat(F.lit(instructions + "\n\n"), body).alias("prompt"))
+
+
+def candidate_groups(events: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """``event_date, n, component``: events of a date linked by the words of title and details."""
+    words = shingles(F.concat_ws(" ", "event", "details"), 1)
+    return similar_groups(events.select("event_date", "n", words.alias("tokens")), ["event_date"], "n", "tokens", threshold)
 
 
 def infer(

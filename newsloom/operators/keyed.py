@@ -140,3 +140,36 @@ def pack(
     )
     packed = rows.groupBy(*keys, chunk).agg(F.array_sort(F.collect_list("_item")).alias("_items"))
     return packed.select(*keys, chunk, F.transform("_items", lambda item: item["_row"]).alias(out))
+
+
+def chunk_units(df: DataFrame, group: Sequence[str], unit: str, order: Sequence[str], size: int, out: str = "chunk") -> DataFrame:
+    """Cuts each group into chunks of at most ``size`` rows that keep units whole, as far as a unit fits.
+
+    A group of up to ``size`` rows is chunk 0. Beyond, rows are ordered by unit: units of up to half of ``size`` go to the
+    chunk of the half their first row falls into, so a chunk holds less than two halves; units of up to ``size`` have a
+    chunk of their own, larger ones are cut by place. Chunk numbers rise but may leave gaps.
+    """
+    group = list(group)
+    # Null-safe and even: rows are numbered over the whole table, then places are told apart by aggregated starts.
+    numbered = materialize(number_all(df, [*group, unit, *order], "_place", "units"), "units")
+    units = numbered.groupBy(*group, unit).agg(F.min("_place").alias("_from"), F.count(F.lit(1)).alias("_rows"))
+    groups = units.groupBy(*group).agg(F.min("_from").alias("_start"), F.sum("_rows").alias("_all"))
+    # Without group columns there is one row of totals.
+    units = units.join(groups, group) if group else units.join(F.broadcast(groups))
+    half = max(size // 2, 1)
+    start = F.col("_from") - F.col("_start")
+    # Two numbers for each half: one for the units that share it, one for a larger unit that begins in it.
+    base = F.floor(start / half) * 2
+    units = materialize(
+        units.select(
+            *group, unit, "_from", "_rows",
+            F.when(F.col("_all") <= size, F.lit(0)).when(F.col("_rows") <= half, base).otherwise(base + 1).cast("bigint").alias("_base"),
+            (F.col("_all") > size).alias("_cut"),
+        ),
+        "units",
+    )
+    hot = units.where(F.col("_rows") >= HOT_ROWS).orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS)
+    met = salted_join(numbered, units.drop("_rows"), [*group, unit], spread=["_place"], hot=hot)
+    # A unit over ``size`` covers at least two halves, whose numbers no other unit takes.
+    inside = F.when(F.col("_cut"), F.floor((F.col("_place") - F.col("_from")) / size) * 2).otherwise(0)
+    return met.select(*df.columns, (F.col("_base") + inside).cast("bigint").alias(out))

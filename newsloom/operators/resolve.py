@@ -43,6 +43,25 @@ def spelling_keys(name: Column, min_letters: int = MIN_LETTERS) -> Column:
     return let(normal_form(name), keys)
 
 
+def spelling_neighbours(names: DataFrame, column: str = "value", min_letters: int = MIN_LETTERS, **join) -> DataFrame:
+    """The names with ``component``: the smallest normal form of all that chains of shared spelling keys lead to."""
+    rows = materialize(names.withColumn("_form", normal_form(F.col(column))), "names")
+    forms = rows.select("_form").distinct()
+    keyed = forms.select(F.col("_form").alias("form"), F.explode(spelling_keys(F.col("_form"), min_letters)).alias("key"))
+    labels = connected_components(star_edges(keyed, ["key"], "form", **join), **join)
+    labels = labels.select(F.col("node").alias("_form"), "component")
+    met = salted_join(rows, labels, ["_form"], "left", spread=[column], **join)
+    return met.select(*names.columns, F.coalesce("component", "_form").alias("component"))
+
+
+def _clearly_below(keyed: DataFrame, heads: DataFrame, **join) -> DataFrame:
+    """``form, head``: forms that share a key with a clearly more used one of ``heads``; the most used, smallest on a tie."""
+    tops = heads.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("form").alias("head"))).alias("top"))
+    met = salted_join(keyed, materialize(tops, "tops"), ["key"], spread=["form"], **join)
+    below = met.where((F.col("top.head") != F.col("form")) & (-F.col("top.w") >= CLEARLY * F.col("weight")))
+    return below.groupBy("form").agg(F.min("top")["head"].alias("head"))
+
+
 def resolve_aliases(
     names: DataFrame,
     kind: str,
@@ -53,33 +72,28 @@ def resolve_aliases(
 ) -> DataFrame:
     """``kind, canonical, variant, rank, uses`` from one row per use of a name.
 
-    Names of one normal form are one; its most frequent spelling stands for it, the smallest on a tie. Forms are linked
-    through shared spelling keys: each form of a key to the first and last of that key, never to all others. The most
-    frequent form of a component is its head. Another form joins the head only if it shares a key with the head itself
-    and the head is used at least ``CLEARLY`` times as often: otherwise chains of names one letter apart would run together,
-    and two names of equal weight are two names.
+    Names of one normal form are one; its most frequent spelling stands for it, the smallest on a tie. A form is a
+    misspelling of another when the two share a spelling key and the other is used at least ``CLEARLY`` times as often;
+    of several such forms that are no misspellings themselves the most used one is its head. Heads are found by two
+    aggregations, the top form of each key and the best over the keys of a form, so names that neighbours one letter
+    apart lead to do not run together.
     """
     used = names.where(F.col(column).isNotNull() & (F.col(column) != ""))
     counted = used.groupBy(F.col(column).alias("name")).agg(F.count(F.lit(1)).alias("uses"))
     counted = materialize(counted.withColumn("form", normal_form(F.col("name"))), "names")
-    forms = counted.groupBy("form").agg(
-        F.sum("uses").alias("weight"), F.min(F.struct(-F.col("uses"), F.col("name").alias("name")))["name"].alias("best")
-    )
+    best = F.min(F.struct(-F.col("uses"), F.col("name").alias("name")))["name"]
+    forms = counted.groupBy("form").agg(F.sum("uses").alias("weight"), best.alias("best"))
     # Names without a letter or digit have the empty form and stay as they are.
     forms = materialize(forms.where("form <> ''"), "forms")
-    keyed = forms.select("form", F.explode(spelling_keys(F.col("form"), min_letters)).alias("key"))
     join = {"hot_rows": hot_rows, "small_bytes": small_bytes}
-    edges = star_edges(keyed, ["key"], "form", **join)
-    labels = connected_components(edges, **join)
-    placed = materialize(forms.join(labels.withColumnRenamed("node", "form"), "form"), "placed")
-    top = F.min(F.struct(-F.col("weight"), F.col("form").alias("form"), F.col("best").alias("best"), F.col("weight").alias("weight")))
-    heads = placed.groupBy("component").agg(top.alias("h")).select(
-        "component", F.col("h.form").alias("_head"), F.col("h.best").alias("_best"), F.col("h.weight").alias("_weight")
-    )
-    met = salted_join(placed, heads, ["component"], spread=["form"], **join)
-    shares = F.arrays_overlap(spelling_keys(F.col("form"), min_letters), spelling_keys(F.col("_head"), min_letters))
-    joins = (F.col("form") != F.col("_head")) & shares & (F.col("_weight") >= CLEARLY * F.col("weight"))
-    moved = materialize(met.where(joins).select("form", F.col("_best").alias("_to")), "moved")
+    keyed = forms.select("form", "weight", F.explode(spelling_keys(F.col("form"), min_letters)).alias("key"))
+    # A key with one form links nothing, and most have one.
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    keyed = materialize(salted_join(keyed, materialize(several, "keys").select("key"), ["key"], "left_semi", spread=["form"], **join), "keyed")
+    lesser = materialize(_clearly_below(keyed, keyed, **join).select("form"), "lesser")
+    moved = _clearly_below(keyed, keyed.join(lesser, "form", "left_anti"), **join)
+    to = forms.select(F.col("form").alias("head"), F.col("best").alias("_to"))
+    moved = materialize(moved.join(to, "head").select("form", "_to"), "moved")
     heads_of = forms.join(moved, "form", "left").select("form", F.coalesce("_to", "best").alias("canonical"))
     found = salted_join(counted, heads_of, ["form"], "left", spread=["name"], **join)
     return found.select(

@@ -265,12 +265,19 @@ ORACLES = {
     "prompts_extraction": """SELECT doc_id AS pos, 'Find events.' || chr(10) || chr(10) || CASE WHEN doc_id % 2 = 0 THEN
         'On 2024-05-' || lpad(CAST(doc_id % 28 + 1 AS VARCHAR), 2, '0') || ' at 9:3' || (doc_id % 10) || ' ' || text ELSE text END AS prompt
         FROM documents""",
-    "prompts_merge": f"""WITH {ENT} SELECT event_date, (n - 1) // 50 AS chunk, 'Merge events.' || chr(10) || chr(10) || '{{"Events":['
+    "prompts_merge": f"""WITH {ENT},
+        alike AS (SELECT *, min(n) OVER (PARTITION BY event_date, event, details) AS unit, count(*) OVER (PARTITION BY event_date) AS whole FROM dated),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY event_date ORDER BY unit, n) - 1 AS place,
+                          count(*) OVER (PARTITION BY event_date, unit) AS size FROM alike),
+        started AS (SELECT *, min(place) OVER (PARTITION BY event_date, unit) AS start FROM placed)
+        SELECT event_date, CASE WHEN whole <= 50 THEN 0 WHEN size <= 25 THEN 2 * (start // 25)
+              ELSE 2 * (start // 25) + 1 + 2 * ((place - start) // 50) END AS chunk, 'Merge events.' || chr(10) || chr(10) || '{{"Events":['
         || string_agg('{{"id":"' || n || '","event":"' || event || '","details":"' || replace(details, '"', '\\"') || '","actors":["'
-        || array_to_string(actors, '","') || '"]}}', ',' ORDER BY n) || ']}}' AS prompt FROM dated GROUP BY 1, 2""",
+        || array_to_string(actors, '","') || '"]}}', ',' ORDER BY n) || ']}}' AS prompt FROM started GROUP BY 1, 2""",
     "prompts_aliases": f"""WITH {ENT}, v AS (SELECT DISTINCT value FROM (SELECT unnest(actors) AS value FROM ent) WHERE value <> ''),
-        r AS (SELECT value, row_number() OVER (ORDER BY value) AS n FROM v)
-        SELECT (n - 1) // 40 AS chunk, 'Unify names.' || chr(10) || string_agg(value, chr(10) ORDER BY n) AS prompt FROM r GROUP BY 1""",
+        r AS (SELECT value, row_number() OVER (ORDER BY replace(value, '_', ' '), value) AS n, count(*) OVER () AS whole FROM v)
+        SELECT CASE WHEN whole <= 40 THEN 0 ELSE 2 * ((n - 1) // 20) END AS chunk,
+            'Unify names.' || chr(10) || string_agg(value, chr(10) ORDER BY value) AS prompt FROM r GROUP BY 1""",
     "infer_stage": """SELECT event_id, 'p' || event_id AS prompt,
         CASE WHEN contains('p' || event_id, '66') THEN NULL ELSE '[p' || event_id || ']' END AS response,
         CASE WHEN contains('p' || event_id, '66') THEN 'RuntimeError: prompt refused' END AS error FROM events""",
@@ -288,7 +295,7 @@ ORACLES = {
         pairs AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
         reach AS (SELECT x AS node, x AS root FROM pairs UNION SELECT p.y, r.root FROM reach r JOIN pairs p ON p.x = r.node)
         SELECT node, min(root) AS component FROM reach GROUP BY 1""",
-    "resolve_aliases": r"""WITH RECURSIVE used AS (SELECT CASE p_partkey % 8
+    "resolve_aliases": r"""WITH used AS (SELECT CASE p_partkey % 8
             WHEN 0 THEN left(p_name, p_partkey % 5) || substr(p_name, p_partkey % 5 + 2)
             WHEN 1 THEN left(p_name, p_partkey % 5 + 1) || substr(p_name, p_partkey % 5 + 1)
             WHEN 2 THEN left(p_name, p_partkey % 5) || 'q' || substr(p_name, p_partkey % 5 + 2)
@@ -299,11 +306,8 @@ ORACLES = {
         keys AS (SELECT f, f AS k FROM forms UNION SELECT f, left(f, i - 1) || substr(f, i + 1) FROM (
             SELECT f, unnest(range(1, length(f) + 1)) AS i FROM forms WHERE length(regexp_replace(f, '[^a-z]', '', 'g')) >= 5) WHERE NOT regexp_matches(f[i], '\d')),
         e AS (SELECT DISTINCT p.f AS x, q.f AS y FROM keys p JOIN keys q USING (k) WHERE p.f <> q.f),
-        reach AS (SELECT f AS node, f AS root FROM forms UNION SELECT e.y, r.root FROM reach r JOIN e ON e.x = r.node),
-        comp AS (SELECT node AS f, min(root) AS c FROM reach GROUP BY 1),
-        head AS (SELECT c, arg_min(f, (-w, f)) AS h FROM comp JOIN forms USING (f) GROUP BY 1),
-        moved AS (SELECT m.f, b.best AS other FROM comp m JOIN head USING (c) JOIN forms a ON a.f = m.f JOIN forms b ON b.f = h
-            JOIN e ON e.x = m.f AND e.y = h WHERE b.w >= 2 * a.w)
+        clear AS (SELECT a.f, b.f AS h, b.w, b.best FROM e JOIN forms a ON a.f = e.x JOIN forms b ON b.f = e.y WHERE b.w >= 2 * a.w),
+        moved AS (SELECT f, arg_min(best, (-w, h)) AS other FROM clear WHERE h NOT IN (SELECT f FROM clear) GROUP BY 1)
         SELECT 'actor' AS kind, coalesce(other, best, name) AS canonical, name AS variant, CAST(0 AS BIGINT) AS rank, uses
         FROM normal LEFT JOIN forms USING (f) LEFT JOIN moved USING (f)""",
     "extract_baseline": rf"""WITH art AS (SELECT doc_id AS pos, CASE WHEN doc_id % 2 = 0 THEN

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from newsloom.functions.dates import CALENDAR, BSCalendar, published_label
 from newsloom.functions.html import LAYOUT, PageLayout, extract_page
 from newsloom.functions.text import rewrite_text
-from newsloom.operators import baseline, entities, graph, grouping, inference, merge, resolve, star
+from newsloom.operators import baseline, entities, graph, grouping, inference, merge, resolve, rounds, star
 from newsloom.session import materialize
 from newsloom.sources.readers import attach_extracted
 
@@ -71,9 +71,7 @@ def merged_parts(dated: DataFrame, model: Model | None = None, **options) -> dic
     if model is None:
         parts = merge.merge_events(dated, **options)
     else:
-        prompts = inference.merge_prompts(grouping.merge_input(dated))
-        merged, rejects = inference.parse_merge_responses(inference.infer(prompts, model, **options))
-        parts = {**inference.merge_parts(merged), "rejects": rejects}
+        parts = rounds.merge_rounds(grouping.merge_input(dated), model, **options)
     return {**parts, "sources": merge.merged_sources(parts["members"], dated)}
 
 

@@ -415,7 +415,10 @@ def prompts_extraction(spark, sf):
 
 @query
 def prompts_merge(spark, sf):
-    return inference.merge_prompts(grouping.merge_input(dated(spark, sf)), "Merge events.", size=50)
+    """Events of a date with the same words lie in one prompt."""
+    rows = materialize(grouping.merge_input(dated(spark, sf)), "events")
+    alike = inference.candidate_groups(rows.withColumn("n", F.col("id").cast("bigint")), threshold=0.9)
+    return inference.merge_prompts(rows, "Merge events.", size=50, candidates=alike)
 
 
 @query

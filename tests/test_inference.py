@@ -50,7 +50,10 @@ def test_prompts(spark):
     assert rows(inference.extraction_prompts(articles, "Do.")) == [(1, "Do.\n\nbody"), (2, "Do.\n\n")]
     names = spark.createDataFrame([("b",), ("a",), ("c",)], "value string")
     assert rows(inference.alias_prompts(names, "Do.")) == [(0, "Do.\na\nb\nc")]
-    assert rows(inference.alias_prompts(names, "Do.", size=2)) == [(0, "Do.\na\nb"), (1, "Do.\nc")]
+    # Units of up to half a prompt share one; names that are no neighbours are units of one.
+    assert rows(inference.alias_prompts(names.union(names.selectExpr("value || 'x'")), "Do.", size=4).select("prompt")) == [
+        ("Do.\na\nax",), ("Do.\nb\nbx",), ("Do.\nc\ncx",)
+    ]
     events = spark.createDataFrame([("2024-01-01", "2", "E2", None, ["A"]), ("2024-01-01", "1", "E1", "d", [])], "event_date string, id string, event string, details string, actors array<string>")
     prompt = inference.merge_prompts(events, "Do.").first().prompt
     body = json.loads(prompt.removeprefix("Do.\n\n"))
