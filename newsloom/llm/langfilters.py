@@ -7,16 +7,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsloom.llm.common import GOLDEN, U64, bounded_batches, keyed_schema, mixed
 from newsloom.session import materialize
 
-#: Letters and blanks of one n-gram.
-GRAM = 4
-#: A language holds an n-gram that is at least one in SHARE of its n-grams, so it holds at most SHARE of them.
-SHARE = 50_000
+#: Letters and blanks of one n-gram; of scripts of many letters (those from WIDE on) one letter makes one.
+GRAM, WIDE_GRAM, WIDE = 4, 1, 0x2E80
+#: A language holds the n-grams that most of its texts hold, as many as make up this share of all of theirs, at any size.
+MASS = 0.95
 #: Rows of the filter per n-gram of the largest language, and rows that each n-gram sets.
 ROWS_PER_GRAM, PROBES = 16, 3
 UNKNOWN = "und"
@@ -58,8 +58,11 @@ def grams_of(texts: list[str], size: int = GRAM) -> tuple[np.ndarray, np.ndarray
     letters, owner = letters[keep], owner[keep]
     n = len(letters) - size + 1
     grams, some = np.zeros(n, U64), np.zeros(n, bool)
+    wide = letters[:n] >= WIDE
     for i in range(size):
         part = letters[i : i + n]
+        if i >= WIDE_GRAM:
+            part = np.where(wide, 0, part)
         grams = grams * GOLDEN + part
         some |= part != _BLANK
     valid = some & (owner[:n] == owner[size - 1 :])
@@ -67,7 +70,10 @@ def grams_of(texts: list[str], size: int = GRAM) -> tuple[np.ndarray, np.ndarray
 
 
 def count_grams(rows: DataFrame, size: int) -> DataFrame:
-    """``(lang, gram, n)`` over all training texts, added up inside each task first."""
+    """``(lang, gram, n)``: how many training texts hold an n-gram, added up inside each task first.
+
+    A text counts an n-gram once, so a long text of few words does not outweigh the others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
@@ -89,7 +95,12 @@ def count_grams(rows: DataFrame, size: int) -> DataFrame:
             for text, lang in zip(texts, langs):
                 by_lang.setdefault(lang, []).append(text)
             for lang, some in by_lang.items():
-                keys, counts = np.unique(grams_of(some, size)[0], return_counts=True)
+                grams, owner = grams_of(some, size)
+                by = np.lexsort((grams, owner))
+                grams, owner = grams[by], owner[by]
+                once = np.ones(len(grams), bool)
+                once[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+                keys, counts = np.unique(grams[once], return_counts=True)
                 if len(keys):
                     held.setdefault(lang, []).append((keys, counts.astype(np.int64)))
                     total += len(keys)
@@ -158,19 +169,27 @@ class Filters:
         return np.clip((rates - self.false) / np.maximum(1 - self.false, 1e-9), 0, 1), n > 0
 
 
-def train(rows: DataFrame, size: int = GRAM, share: int = SHARE) -> Filters:
-    """Filters from all rows ``(lang, _text)``; what reaches the driver is at most ``share`` n-grams a language."""
+def train(rows: DataFrame, size: int = GRAM, mass: float = MASS) -> Filters:
+    """Filters from all rows ``(lang, _text)``; what reaches the driver are the n-grams that make up ``mass`` of a language.
+
+    They are found by a count that an n-gram must have, from a histogram of the counts; ties are all kept. Their number
+    is bounded by the letters of a script, not by the corpus.
+    """
     counts = materialize(count_grams(rows, size), "grams")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    kept = counts.join(totals, "lang").where(F.col("n") * F.lit(share) >= F.col("total")).select("lang", "gram")
-    found = kept.toArrow()
+    histogram = counts.groupBy("lang", "n").agg(F.sum("n").alias("held"))
+    # One row for each language and distinct count.
+    above = Window.partitionBy("lang").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("held").over(above), F.lit(0))
+    needed = histogram.select("lang", "n", (before < F.lit(mass) * F.sum("held").over(Window.partitionBy("lang"))).alias("needed"))
+    least = needed.where("needed").groupBy("lang").agg(F.min("n").alias("least"))
+    found = counts.join(F.broadcast(least), "lang").where("n >= least").select("lang", "gram").toArrow()
     names, grams = np.array(found["lang"].to_pylist(), object), found["gram"].to_numpy().view(U64)
     langs = sorted(set(names))
     return Filters(langs, [np.sort(grams[names == lang]) for lang in langs])
 
 
 def predict(
-    docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", size: int = GRAM, share: int = SHARE
+    docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text", lang: str = "lang", size: int = GRAM, mass: float = MASS
 ) -> DataFrame:
     """``(key, held_out, lang_pred, score)`` of every row.
 
@@ -182,7 +201,7 @@ def predict(
     bounded_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text), F.lit("")).alias("_text")
     training = docs.where(learns & F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), whole)
-    shared = docs.sparkSession.sparkContext.broadcast(train(training, size, share))
+    shared = docs.sparkSession.sparkContext.broadcast(train(training, size, mass))
     rows = docs.select(F.col(key).alias("_key"), (~learns).alias("held_out"), whole)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -131,6 +131,32 @@ def test_languages(spark):
     assert langfilters.predict(no_documents(spark), F.lit(True)).count() == 0
 
 
+def many_letters(rng, start, n):
+    """Prose of a script of 3,000 letters, the k-th used like 1 / k."""
+    letters = [chr(start + i) for i in range(3_000)]
+    weights = [1 / (k + 5) for k in range(3_000)]
+    return "".join(rng.choices(letters, weights, k=n))
+
+
+def test_scripts_of_many_letters_at_two_sizes(spark):
+    rng = random.Random(31)
+    scores = []
+    for count in (30, 600):
+        rows = [(1000 + i, [many_letters(rng, 0x4E00, 400), many_letters(rng, 0xAC00, 400), prose(rng, "en", 60)][i % 3], ["zh", "ko", "en"][i % 3], "s") for i in range(count)]
+        held = [(5000 + i, many_letters(rng, [0x4E00, 0xAC00][i % 2], 300), None, "s") for i in range(20)]
+        got = langfilters.predict(odd_documents(spark, [*rows, *held]), F.col("doc_id") < 5000).where("doc_id >= 5000").collect()
+        assert [r.lang_pred for r in sorted(got)] == ["zh", "ko"] * 10
+        scores.append(min(r.score for r in got))
+    # More text can only fill the filter: no clean text falls below the least score of the pipeline.
+    assert scores[0] > 0.05 and scores[1] > scores[0]
+
+
+def test_ties_of_languages(spark):
+    rows = [(1000 + i, "same words for both", ["xx", "aa"][i % 2], "s") for i in range(8)]
+    got = langfilters.predict(odd_documents(spark, rows), F.col("lang").isin("xx", "aa"))
+    assert {(r.lang_pred, r.score) for r in got.where("doc_id >= 1000").collect()} == {("aa", 1.0)}
+
+
 def test_filters_equal_sets():
     rng = random.Random(3)
     texts = {f"l{i:03d}": prose(rng, lang, 200) for i, lang in enumerate(["en", "fr", "de"] * 30)}
