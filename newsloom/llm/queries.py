@@ -85,18 +85,37 @@ QUERIES = {
     "op13_chat_format": op13_chat_format,
 }
 
+_BLANKS = "' ' || chr(9) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# Lines on many sites; texts mostly of such lines in groups of near copies by all pairs; sites again, one for each group.
 LINE_SPREAD = f"""
-WITH rows AS (SELECT doc_id, text, coalesce('=' || source, '') AS site, string_split(text, chr(10)) AS parts FROM documents),
-lines AS (SELECT doc_id, site, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM rows),
-spread AS (SELECT trim(line) AS line FROM lines WHERE trim(line) <> '' GROUP BY 1 HAVING count(DISTINCT site) >= {linespread.SITES}),
-marked AS (SELECT l.doc_id, l.pos, l.line, s.line IS NOT NULL AS gone FROM lines l LEFT JOIN spread s ON trim(l.line) = s.line),
+WITH RECURSIVE rows AS (SELECT doc_id, text, coalesce('=' || source, '') AS site, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (SELECT doc_id, text, site, trim(line, {_BLANKS}) AS line, line AS whole, pos
+          FROM (SELECT doc_id, text, site, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM rows)),
+wide AS (SELECT line FROM lines WHERE line <> '' GROUP BY 1 HAVING count(DISTINCT site) >= {linespread.SITES}),
+shares AS (SELECT doc_id, any_value(text) AS text FROM lines LEFT JOIN wide w USING (line) WHERE line <> '' GROUP BY doc_id
+           HAVING 2 * coalesce(sum(octet_length(encode(line))) FILTER (line IN (SELECT line FROM wide)), 0) > sum(octet_length(encode(line)))),
+texts AS (SELECT text, min(doc_id) AS node FROM shares GROUP BY text),
+words AS (SELECT node, list_filter(string_split_regex(translate(text, '{_UPPER}', '{_LOWER}'), '[\\x09-\\x0D ]+'), lambda w: w <> '') AS w FROM texts),
+grams AS (SELECT node, unnest(CASE WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END) AS g FROM words WHERE len(w) > 0),
+sizes AS (SELECT node, count(*) AS n FROM grams GROUP BY node),
+pairs AS (SELECT a.node AS x, b.node AS y, count(*) AS n FROM grams a JOIN grams b ON a.g = b.g AND a.node <> b.node GROUP BY 1, 2),
+edge AS (SELECT x, y FROM pairs JOIN sizes p ON p.node = x JOIN sizes q ON q.node = y WHERE 100 * pairs.n >= 80 * (p.n + q.n - pairs.n)),
+reach AS (SELECT node, node AS root FROM texts UNION SELECT e.y, r.root FROM reach r JOIN edge e ON e.x = r.node),
+groups AS (SELECT text, min(root) AS component FROM reach JOIN texts USING (node) GROUP BY text),
+pages AS (
+  SELECT line, site FROM lines WHERE line <> '' AND text NOT IN (SELECT text FROM groups)
+  UNION ALL SELECT line, CASE WHEN min(site) = max(site) THEN min(site) ELSE '/' || component END
+  FROM lines JOIN groups USING (text) WHERE line <> '' GROUP BY line, component),
+spread AS (SELECT line FROM pages JOIN wide USING (line) GROUP BY 1 HAVING count(DISTINCT site) >= {linespread.SITES}),
 docs AS (
-  SELECT doc_id, count(*) FILTER (trim(line) <> '') AS n_lines,
-    2 * coalesce(sum(length(trim(line))) FILTER (gone), 0) <= sum(length(trim(line))) AS page,
-    count(*) FILTER (gone) AS n_gone, string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone) AS rest
-  FROM marked GROUP BY doc_id)
-SELECT r.doc_id, coalesce(d.n_lines, 0) AS n_lines, CASE WHEN d.page THEN d.n_gone ELSE 0 END AS n_removed,
-  CASE WHEN d.page AND d.n_gone > 0 THEN coalesce(d.rest, '') ELSE r.text END AS text
+  SELECT doc_id, count(*) FILTER (l.line <> '') AS n_lines, count(*) FILTER (s.line IS NOT NULL) AS n_gone,
+    string_agg(whole, chr(10) ORDER BY pos) FILTER (s.line IS NULL) AS rest
+  FROM lines l LEFT JOIN spread s ON l.line = s.line GROUP BY doc_id)
+SELECT r.doc_id, coalesce(d.n_lines, 0) AS n_lines, coalesce(d.n_gone, 0) AS n_removed,
+  CASE WHEN d.n_gone > 0 THEN coalesce(d.rest, '') ELSE r.text END AS text
 FROM rows r LEFT JOIN docs d USING (doc_id)
 """
 

@@ -61,5 +61,5 @@ def test_run_and_empty(spark, sf_dir, tmp_path):
 def test_queries_are_registered():
     driver = importlib.import_module("__spark_entry__")
     names = set(driver.queries())
-    assert {"pipeline"} | {n for n in names if n.startswith("op")} >= {"pipeline"} and sum(n.startswith("op") for n in names) == 10
+    assert {"pipeline"} | {n for n in names if n.startswith("op")} >= {"pipeline"} and sum(n.startswith("op") for n in names) == 13
     assert "op6_line_spread" in driver.oracle_sql() and os.path.exists(driver.__file__)

@@ -144,8 +144,21 @@ def test_lines_by_hand(spark):
     found = {r.doc_id: r for r in got.where("doc_id >= 100").collect()}
     for doc, text, _, _ in page:
         assert found[doc].text == text.replace(" Share this \n", "") and (found[doc].n, found[doc].gone) == (3, 1)
-    for doc, text, _, _ in [*copies, *few]:
+    # The lines of a copied page stay, but not those that other pages have too.
+    for doc, text, _, _ in copies:
+        assert found[doc].text == text.removesuffix("\nShare this") and found[doc].gone == 1
+    for doc, text, _, _ in few:
         assert found[doc].text == text and found[doc].gone == 0
+    # Short pages of own words under a long shared block, with other blanks at its ends: the block goes from all.
+    block = [f"menu entry {i} of the long block" for i in range(9)]
+    short = [(400 + i, "\r\n".join(["\t" + x for x in block]) + f"\nthe words of page {i} are {i * 7} and {i * i}", "en", f"s{i % 9}") for i in range(20)]
+    alike = [(500 + i, "\n".join(f"sentence {k} of one story that is told everywhere" for k in range(12)) + f"\nseen {i}", "en", f"s{i % 9}") for i in range(20)]
+    more = linespread.remove_boilerplate(odd_documents(spark, [*short, *alike]).repartition(3), counts=("n", "gone")).where("doc_id >= 400")
+    for r in more.collect():
+        if r.doc_id < 500:
+            assert (r.n, r.gone, r.text) == (10, 9, short[r.doc_id - 400][1].split("\n")[-1])
+        else:
+            assert (r.n, r.gone, r.text) == (13, 0, alike[r.doc_id - 500][1])
     same = by(got.where("doc_id < 100 or doc_id is null"), *docs.columns)
     assert same == by(docs.where("doc_id < 100 or doc_id is null"), *docs.columns)
     assert linespread.remove_boilerplate(no_documents(spark)).count() == 0
