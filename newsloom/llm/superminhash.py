@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm.common import GOLDEN, U64, Memo, bounded_batches, chunks, hot_join, lists, mixed, text_bytes
 from newsloom.operators.components import connected_components
+from newsloom.operators.keyed import salted_join
 from newsloom.session import materialize
 
 #: Slots of a signature, a power of two so that odd steps walk through all of them.
@@ -22,6 +23,8 @@ WORDS = 5
 PERCENT = 80
 #: Heads of a bucket that its members meet in one round, at first and at most; rounds go on until none is left.
 FIRST_HEADS, MOST_HEADS = 32, 256
+#: A text that is the reference of more members is joined to them in several tasks.
+HOT_REFERENCE = 100_000
 
 
 class Shingler:
@@ -172,7 +175,8 @@ def near_duplicates(
     are classes that share a band of their SuperMinHash; a bucket's members are compared with its head, then, as long
     as a bucket holds members of several components, with more and more heads, each once. Members that have
     too many shingles of their own to be like anyone leave before. So a group of like members costs one pair per
-    member, and no candidate pair of different components that could be a link stays unseen. All links are confirmed
+    member, and no candidate pair of different components that could be a link stays unseen: left out are pairs whose
+    changes against the head of their bucket are too many to be alike. All links are confirmed
     on whole sets.
     Null, empty and blank texts have no set and are linked with nothing. A row with a null key is linked with nothing:
     its ``component_id`` is null and it is kept. Rows that repeat a key are one document. Other columns are not read.
@@ -223,6 +227,8 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
     links = materialize(linked_pairs(tested, sets, percent), "links")
     labels = _components(links)
 
+    refs = materialize(heads.select("_band", F.col("_head.node").alias("_ref")), "references")
+    changes = None
     count = FIRST_HEADS
     while True:
         # Buckets that hold more than one component stay, without the members that can have no link there.
@@ -232,18 +238,25 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
         named = materialize(_unsettled(_possible(named, sets, percent)), "members")
         if named.isEmpty():
             return labels
+        named = named.join(refs, "_band")
+        if changes is None:
+            changes = _changes(named, sets)
+        named = materialize(named.join(changes, ["_node", "_ref"]), "members")
         # Members of a bucket's small components go first: when they have met all others, one component is left.
         sizes = named.groupBy("_band", "_component").agg(F.count(F.lit(1)).alias("_size"))
         ranked = Window.partitionBy("_band").orderBy("_size", F.desc("_w"), _order(F.col("_node")), "_node")
         heads = named.join(sizes, ["_band", "_component"]).withColumn("_place", F.row_number().over(ranked))
         heads = materialize(heads.where(F.col("_place") <= count), "heads")
-        entry = F.struct(*[F.col("_" + c).alias(c) for c in ("node", "n", "common", "component")])
+        entry = F.struct(*[F.col("_" + c).alias(c) for c in ("node", "n", "common", "component", "lacks", "adds", "shared")])
         lists = heads.groupBy("_band").agg(F.collect_list(entry).alias("_heads"))
 
         def may_link(head: Column) -> Column:
             common = F.least(F.col("_common"), head["common"])
             bound = common * 100 >= (F.col("_n") + head["n"] - common) * percent
-            return (F.col("_component") != head["component"]) & bound
+            # What two members change of their bucket's reference, they cannot have changed alike beyond these counts.
+            apart = F.abs(F.col("_lacks") - head["lacks"]) + F.col("_adds") + head["adds"] - 2 * F.least(F.col("_shared"), head["shared"])
+            near = apart * (100 + percent) <= (F.col("_n") + head["n"]) * (100 - percent)
+            return (F.col("_component") != head["component"]) & bound & near
 
         # The heads of a bucket are a short list, so a member stays one row for each of its bands, and a pair is made once.
         met = named.join(lists, "_band").select("_node", F.transform(F.filter("_heads", may_link), lambda h: h["node"]).alias("_met"))
@@ -284,6 +297,30 @@ def _possible(named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found.where(F.col("_common") * 100 >= union * percent).drop("_own", "_smallest")
 
 
+def _changes(named: DataFrame, sets: DataFrame) -> DataFrame:
+    """``(_node, _ref, _lacks, _adds, _shared)``, stored: how a member's set differs from the reference of its bucket.
+
+    ``_lacks`` shingles of the reference are missing, ``_adds`` are new, and ``_shared`` of the new ones are new in another
+    member too. Two sets differ by what they lack differently and by what they add differently, so these counts bound
+    their difference from below: members with many changes of their own are like none of the others.
+    """
+    pairs = materialize(named.select("_node", "_ref").distinct(), "references")
+    own = pairs.join(sets, "_node")
+    reference = sets.select(F.col("_node").alias("_ref"), F.col("_set").alias("_ref_set"))
+    # One text may be the reference of most members.
+    both = salted_join(own, reference, ["_ref"], spread=["_node"], hot_from=pairs, hot_rows=HOT_REFERENCE)
+    found = both.select(
+        "_node", "_ref", F.size(F.array_except("_ref_set", "_set")).alias("_lacks"), F.array_except("_set", "_ref_set").alias("_new")
+    )
+    found = materialize(found, "changes")
+    single = found.select("_node", "_ref", F.explode("_new").alias("_shingle")).groupBy("_ref", "_shingle")
+    single = single.agg(F.count(F.lit(1)).alias("_times"), F.min("_node").alias("_node")).where("_times = 1")
+    alone = single.groupBy("_node", "_ref").agg(F.count(F.lit(1)).alias("_alone"))
+    counted = found.select("_node", "_ref", "_lacks", F.size("_new").alias("_adds")).join(alone, ["_node", "_ref"], "left")
+    shared = F.col("_adds") - F.coalesce("_alone", F.lit(0))
+    return materialize(counted.select("_node", "_ref", "_lacks", "_adds", shared.alias("_shared")), "changes")
+
+
 def _components(links: DataFrame) -> DataFrame:
     found = connected_components(links.select(F.col("_a").alias("src"), F.col("_b").alias("dst")))
     return materialize(found.select(F.col("node").alias("_node"), "component"), "labels")

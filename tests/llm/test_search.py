@@ -95,6 +95,26 @@ def test_signature_estimates_likeness():
     assert len(np.unique(small[0])) == superminhash.SLOTS and (small[1] == np.iinfo(np.uint64).max).all()
 
 
+def test_many_members_like_none(spark):
+    """600 copies of one text with so many changes that few are alike, some of them changed alike, among closer copies."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    base = [rng.choice(words) for _ in range(120)]
+    rows = []
+    for number in range(600):
+        copy = list(base)
+        for _ in range(rng.choice([0, 1, 3, 5, 6, 7, 9, 12])):
+            copy[rng.randrange(120)] = rng.choice(words)
+        if number % 10 == 0:
+            for at in range(20, 27):
+                copy[at] = f"v{number % 3}"
+        rows.append((1_000 + number, " ".join(copy)))
+    docs = odd_documents(spark, [(n, t, "en", "a") for n, t in rows]).where("doc_id >= 1000").repartition(4)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in superminhash.near_duplicates(docs, words=3, percent=85).collect()}
+    true = components(rows, 3, 85)
+    assert found == true and len({c for _, c in true.values()}) > 100
+
+
 def windows(words, n=10):
     return [tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))] if words else []
 
@@ -151,7 +171,7 @@ def test_lines_by_hand(spark):
         assert found[doc].text == text and found[doc].gone == 0
     # Short pages of own words under a long shared block, with other blanks at its ends: the block goes from all.
     block = [f"menu entry {i} of the long block" for i in range(9)]
-    short = [(400 + i, "\r\n".join(["\t" + x for x in block]) + f"\nthe words of page {i} are {i * 7} and {i * i}", "en", f"s{i % 9}") for i in range(20)]
+    short = [(400 + i, "\r\n".join(["\t" + x for x in block]) + "\n" + " ".join(f"own{i}x{k}" for k in range(25)), "en", f"s{i % 9}") for i in range(20)]
     alike = [(500 + i, "\n".join(f"sentence {k} of one story that is told everywhere" for k in range(12)) + f"\nseen {i}", "en", f"s{i % 9}") for i in range(20)]
     more = linespread.remove_boilerplate(odd_documents(spark, [*short, *alike]).repartition(3), counts=("n", "gone")).where("doc_id >= 400")
     for r in more.collect():
