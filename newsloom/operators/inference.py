@@ -209,7 +209,7 @@ def parse_event_responses(df: DataFrame, column: str = "response") -> DataFrame:
     """Types the JSON of ``column``: adds ``entities``, ``raw_response`` and ``parse_ok``.
 
     A missing response is an empty list, a lone object a list of one. Text that is no JSON stays in ``raw_response``
-    with ``parse_ok`` false and no entities; list items that are not objects are left out.
+    with ``parse_ok`` false and no entities; list items that are not objects are left out, and are in `odd_items`.
     """
     rows = spread(allow_repeated_keys(df)).withColumn("_v", _json(F.col(column)))
     items = F.coalesce(_list(F.col("_v")), F.when(F.col("_v").isNotNull(), F.array("_v")))
@@ -225,6 +225,15 @@ def parse_event_responses(df: DataFrame, column: str = "response") -> DataFrame:
     ).drop("_v", "_items", *([column] if column not in ("entities", "raw_response") else []))
 
 
+def odd_items(df: DataFrame, column: str = "response") -> DataFrame:
+    """The list items of ``column`` that are no objects: a row each, with its place as ``item_pos`` and its JSON as ``item``."""
+    kept = [c for c in df.columns if c != column]
+    items = _list(_json(F.col(column)))
+    rows = allow_repeated_keys(df).select(*kept, F.posexplode(items).alias("item_pos", "_item"))
+    odd = rows.where(~F.coalesce(_is_object(F.col("_item")), F.lit(False)))
+    return odd.select(*kept, "item_pos", F.coalesce(F.to_json("_item"), F.lit("null")).alias("item"))
+
+
 def split_conforming(entities: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Flat entity rows into (good, rejected) by required fields and date form."""
     good = (F.size("missing_fields") == 0) & ~F.col("bad_date")

@@ -122,3 +122,11 @@ def test_repeated_keys_and_odd_items(spark):
     good, bad = inference.parse_merge_responses(spark.createDataFrame(data, "event_date string, chunk long, response string"))
     assert rows(good.select("event", "actors", "members")) == [("M", ["Ana"], ["3"])]
     assert rows(bad.select("response")) == [("7",), ("null",)]
+
+
+def test_odd_items_are_rejects(spark):
+    texts = ['[{"event": "a"}, "junk", null, 7]', "no json", None, '{"event": "b"}', "[]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "pos long, response string")
+    assert rows(inference.odd_items(df)) == [(0, 1, '"junk"'), (0, 2, "null"), (0, 3, "7")]
+    parsed = {r.pos: (len(r.entities), r.parse_ok) for r in inference.parse_event_responses(df).collect()}
+    assert parsed == {0: (1, True), 1: (0, False), 2: (0, True), 3: (1, True), 4: (0, True)}
