@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,18 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+@contextmanager
+def wide_batches(spark: SparkSession, rows: int = 50_000):
+    """Rows of a few numbers reach Python in larger batches, for jobs that are run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def text_bytes(text: Column) -> Column:
     """UTF-8 bytes of a text; none of a null."""
     return F.coalesce(text, F.lit("")).cast("binary")

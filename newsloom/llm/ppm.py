@@ -12,13 +12,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import U64, bounded_batches, chunks, keyed_schema, lists, text_bytes
+from newsloom.llm.common import U64, bounded_batches, chunks, keyed_schema, lists, text_bytes, wide_batches
 from newsloom.session import materialize
 
 #: Longest context, in bytes. A context and its next byte fit into one 64-bit number.
 ORDER = 6
-#: A gram is frequent if it is at least one in 2**GRAM_BITS of all symbols, so there are at most 2**GRAM_BITS of them.
+#: The most used grams are broadcast, at most 2**GRAM_BITS of them.
 GRAM_BITS = 22
+#: Grams that are worked out together; a context with more of them is split by its next byte.
+PART_ROWS = 1 << 19
 #: A word is frequent if it is at least one in 2**WORD_BITS of all tokens, so there are at most 2**WORD_BITS of them.
 WORD_BITS = 19
 #: Stands before and behind a text; UTF-8 has no such byte.
@@ -28,7 +30,8 @@ EDGE = 255
 def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     """``(keys, starts)``: each symbol with the ``order`` bytes before it, for all texts and the end of each.
 
-    A key holds the symbol in its lowest byte. ``starts`` says where a text's keys begin.
+    A key holds the symbol in its lowest byte and the nearest byte of the context in its highest, so grams with the same last bytes
+    of context lie together. ``starts`` says where a text's keys begin.
     """
     edge = bytes([EDGE]) * order
     data = np.frombuffer(edge + edge.join(texts) + edge, np.uint8)
@@ -36,7 +39,7 @@ def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(data) - order
     keys = np.zeros(n, U64)
     for back in range(order + 1):
-        keys |= data[order - back : order - back + n].astype(U64) << U64(8 * back)
+        keys |= data[order - back : order - back + n].astype(U64) << U64(8 * (order + 1 - back) if back else 0)
     # One edge follows a text as its end; the other edges only open the next text.
     ends = np.cumsum(lengths + order)
     keep = np.zeros(n + 1, np.int32)
@@ -49,23 +52,26 @@ def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 def count_grams(rows: DataFrame, order: int) -> DataFrame:
     """``(key, n, uses)``: how often each symbol follows each context of ``order`` bytes, in training rows and in all rows.
 
-    Occurrences are added up inside each task first; the lowest bit of a mark says that they are of training rows.
+    Occurrences are added up inside each task first.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The lowest bit of a mark says that it is of training rows.
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
+        def added(values: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+            first = np.concatenate([[True], values[1:] != values[:-1]])
+            return [values[first], *[np.add.reduceat(c, np.flatnonzero(first)) for c in counts]]
+
+        def merged() -> list[np.ndarray]:
             marks = np.concatenate([m for m, _ in held])
-            counts = np.concatenate([c for _, c in held])
             by = np.argsort(marks)
-            marks, counts = marks[by], counts[by]
-            first = np.concatenate([[True], marks[1:] != marks[:-1]])
-            return marks[first], np.add.reduceat(counts, np.flatnonzero(first))
+            return added(marks[by], np.concatenate([c for _, c in held])[by])
 
-        def batch_of(marks, counts):
-            return pa.RecordBatch.from_arrays([pa.array(marks.astype(np.int64)), pa.array(counts)], names=["mark", "n"])
+        def batch_of(marks: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            keys, n, uses = added(marks >> U64(1), np.where(marks & U64(1), counts, 0), counts)
+            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n), pa.array(uses)], names=["key", "n", "uses"])
 
         # A model that this worker has scored with is not needed while it counts.
         _models.clear()
@@ -76,19 +82,18 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
             marks, counts = np.unique(marks, return_counts=True)
             held.append((marks, counts.astype(np.int64)))
             size += len(marks)
-            if size > 1_500_000:
+            if size > 3_000_000:
                 one = merged()
-                if len(one[0]) > 750_000:
+                if len(one[0]) > 1_500_000:
                     yield batch_of(*one)
                     held, size = [], 0
                 else:
-                    held, size = [one], len(one[0])
+                    held, size = [tuple(one)], len(one[0])
         if held:
             yield batch_of(*merged())
 
-    partial = rows.select("_held", "_text").mapInArrow(run, "mark long, n long")
-    learned = F.when(F.col("mark").bitwiseAND(F.lit(1)) == 1, F.col("n")).otherwise(F.lit(0))
-    return partial.groupBy(F.shiftrightunsigned("mark", 1).alias("key")).agg(F.sum(learned).alias("n"), F.sum("n").alias("uses"))
+    partial = rows.select("_held", "_text").mapInArrow(run, "key long, n long, uses long")
+    return partial.groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -115,97 +120,167 @@ def count_words(rows: DataFrame) -> DataFrame:
     return rows.select("_text").mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _low(column: str, size: int) -> Column:
-    """The last ``size`` bytes of a number."""
-    return F.col(column).bitwiseAND(F.lit((1 << (8 * size)) - 1))
+def _context(keys, depth: int, order: int):
+    """The ``depth`` bytes before the symbol of each key, as a number."""
+    return keys >> U64(8 * (order + 1 - depth))
 
 
-def context_table(level: DataFrame, lower: DataFrame | None, below: DataFrame | None, depth: int, least: int) -> DataFrame:
-    """``(context, total, seen, kinds, escape, below_total, below_escape)`` of the contexts of one depth.
+def split_contexts(grams: DataFrame, order: int, part_rows: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each depth from 0: ``(node, n)`` of the contexts that too many grams share, sorted; a node is a context and its symbol.
 
-    ``level`` and ``lower`` are the counts of this depth and of the next shorter one, ``below`` the contexts there. The last two
-    columns hold, at the next shorter context without the symbols of this one, the logarithms of the total and of the escape.
-    A key of a depth has at most 256 keys of the next depth, so no join here has a key with many rows.
+    A context with more than ``part_rows`` grams is split by its next byte, so each depth has at most one of them for every
+    ``part_rows`` grams, with 256 symbols at most. Contexts of depth ``order`` are never split.
     """
-    rows = level.select("key", "n")
-    if depth:
-        rows = rows.withColumn("_at", _low("key", depth)).join(lower.select(F.col("key").alias("_at"), F.col("n").alias("_n")), "_at")
-    else:
-        rows = rows.withColumn("_n", F.lit(0).cast("long"))
-    kept = F.col("n") >= least
-    found = rows.groupBy(F.shiftrightunsigned("key", 8).alias("context")).agg(
-        F.sum("n").alias("total"), F.sum(F.when(kept, F.col("n"))).alias("seen"), F.count(F.when(kept, True)).alias("kinds"),
-        F.sum(F.when(kept, F.col("_n"))).alias("_symbols"),
-    )
-    # A context is kept if a kept gram continues it.
-    found = found.where("kinds > 0").withColumn("escape", F.log((F.col("total") - F.col("seen") + F.col("kinds") / 2) / F.col("total")))
-    names = ["context", "total", "seen", "kinds", "escape"]
-    if not depth:
-        return found.select(*names, F.lit(None).cast("double").alias("below_total"), F.lit(None).cast("double").alias("below_escape"))
-    shorter = below.select(F.col("context").alias("_at"), *[F.col(c).alias(f"_{c}") for c in ("total", "seen", "kinds")])
-    left = F.col("_total") - F.col("_symbols")
-    escape = F.col("_total") - F.col("_seen") + (F.col("_kinds") - F.col("kinds")) / 2
-    return found.withColumn("_at", _low("context", depth - 1)).join(shorter, "_at").select(
-        *names, F.when(left > 0, F.log(left)).alias("below_total"), F.when(left > 0, F.log(escape / left)).otherwise(0.0).alias("below_escape")
-    )
-
-
-def log_probabilities(grams: DataFrame, order: int, keep_bits: int | None = None) -> DataFrame:
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    inside = grams.select("key", "n") if grams.count() > part_rows else None
+    while inside is not None and len(found) < order:
+        depth = len(found)
+        context = F.shiftright("key", 8 * (order + 1 - depth))
+        nodes = inside.groupBy((F.shiftleft(context, 8) + F.col("key").bitwiseAND(F.lit(255))).alias("node")).agg(F.sum("n").alias("n"))
+        table = nodes.orderBy("node").toArrow()
+        found.append((table["node"].to_numpy().astype(U64), table["n"].to_numpy().astype(np.float64)))
+        longer = F.shiftright("key", 8 * (order - depth))
+        sizes = inside.groupBy(longer.alias("context")).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > part_rows)
+        hot = [r["context"] for r in sizes.select("context").collect()]
+        inside = inside.where(longer.isin(hot)) if hot else None
+    return found
+
+
+def _part_depths(keys: np.ndarray, split: list[tuple[np.ndarray, np.ndarray]], order: int) -> np.ndarray:
+    """How many bytes of context make up the part of each key: the first context that is not split."""
+    depths = np.zeros(len(keys), np.int64)
+    for depth, (nodes, _) in enumerate(split):
+        inside = np.isin(_context(keys, depth, order), np.unique(nodes >> U64(8))) & (depths == depth)
+        depths[inside] = depth + 1
+    return depths
+
+
+def _node_figures(nodes: np.ndarray, counts: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+    """Per sorted node: its count, and of its context the total, the kinds, and what its symbols count at the next shorter one."""
+    context = nodes >> U64(8)
+    first = np.concatenate([[True], context[1:] != context[:-1]])
+    starts, of = np.flatnonzero(first), np.cumsum(first) - 1
+    seen = counts > 0
+    sums = [np.add.reduceat(column, starts)[of] for column in (counts, seen.astype(np.float64), np.where(seen, shorter, 0.0))]
+    return np.stack([counts, *sums])
+
+
+def gram_logs(keys: np.ndarray, n: np.ndarray, split: list[tuple[np.ndarray, np.ndarray]], depth: int, order: int) -> np.ndarray:
+    """The logarithms of the probabilities of sorted grams that hold whole parts of ``depth`` bytes.
+
+    Counts of shorter contexts come from ``split``. Up the depths, ``value`` is that of a gram whose longer contexts are unknown
+    and ``after`` that of one which has escaped from the context of this depth.
+    """
+    symbols = keys & U64(255)
+    value = after = before = None
+    for at in range(order + 1):
+        node = (_context(keys, at, order) << U64(8)) | symbols
+        if at < depth:
+            nodes, counts = split[at]
+            shorter = np.zeros(len(nodes))
+            if at:
+                above, sums = split[at - 1]
+                shorter = sums[np.searchsorted(above, ((nodes >> U64(16)) << U64(8)) | (nodes & U64(255)))]
+            where = np.searchsorted(nodes, node)
+        else:
+            nodes, index, where = np.unique(node, return_index=True, return_inverse=True)
+            counts = np.bincount(where, weights=n, minlength=len(nodes))
+            shorter = before[0][index] if at else np.zeros(len(nodes))
+        count, total, kinds, excluded = _node_figures(nodes, counts, shorter)[:, where]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            if at:
+                b_count, b_total, b_kinds = before
+                left = b_total - excluded
+                escaped = np.where(left > 0, np.log((b_kinds - kinds) / 2 / left), 0.0)
+                after = np.where(b_count > 0, np.log(b_count - 0.5) - np.log(left), escaped + after)
+            else:
+                after = value = -np.log(256 - kinds)
+            missed = np.where(total > 0, np.log(kinds / 2 / total) + after, value)
+            value = np.where(count > 0, np.log((count - 0.5) / total), missed)
+        before = count, total, kinds
+    return value
+
+
+def log_probabilities(grams: DataFrame, order: int, part_rows: int = PART_ROWS) -> DataFrame:
     """``(key, uses, value)``: the logarithm of the probability of each gram of the stored ``(key, n, uses)``.
 
-    A gram holds all that its probability depends on, so each distinct one is worked out once, by joins with the stored counts
-    of all depths: down the depths, the grams not found are asked again with one byte of context less; up again, their
-    values are put together. A symbol weighs its count less one half; each kind of symbol gives its half to the escape.
-    Every counted node takes part. With ``keep_bits`` only nodes that one in ``2**keep_bits`` symbols passes do, and what a context
-    had beside them adds to its escape. An empty corpus gives a trie without nodes.
+    A gram holds all that its probability depends on, so each distinct one is worked out once. Grams are dealt by the last bytes of
+    their context, as many bytes as keep a part below ``part_rows``, so a task sees all longer contexts of its parts; the
+    counts of the few shorter ones are broadcast. All depths are worked out there at once. A symbol weighs its count
+    less one half; each kind of symbol gives its half to the escape. Every counted node takes part. An empty corpus gives a
+    trie without nodes.
     """
-    least = 1
-    if keep_bits is not None:
-        least = max(1, -(-(grams.agg(F.sum("n")).first()[0] or 0) // (1 << keep_bits)))
-    levels = [grams.where("n > 0").select("key", "n")]
-    for depth in range(order, 0, -1):
-        shorter = levels[0].select(_low("key", depth).alias("key"), "n")
-        levels.insert(0, materialize(shorter.groupBy("key").agg(F.sum("n").alias("n")), "grams"))
-    contexts: list[DataFrame] = []
-    for depth, level in enumerate(levels):
-        lower, below = (levels[depth - 1], contexts[-1]) if depth else (None, None)
-        contexts.append(materialize(context_table(level, lower, below, depth, least), "contexts"))
-    asked: list[DataFrame] = []
-    for depth in range(order, -1, -1):
-        if asked:
-            wanted = asked[0].where("n is null").select(_low("key", depth + 1).alias("key")).distinct()
-            wanted = wanted.join(levels[depth].where(F.col("n") >= least), "key", "left")
+    spark = grams.sparkSession
+    split = split_contexts(grams, order, part_rows)
+    shared = spark.sparkContext.broadcast(split)
+    part = F.lit(None).cast("long")
+    for depth in range(len(split), -1, -1):
+        bits = 8 * (order + 1 - depth)
+        context = F.shiftright("key", bits)
+        here = F.shiftleft(context, bits)
+        if depth < len(split):
+            part = F.when(context.isin([int(c) for c in np.unique(split[depth][0] >> U64(8))]), part).otherwise(here)
         else:
-            wanted = grams.select("key", "uses", F.when(F.col("n") >= least, F.col("n")).alias("n"))
-        known = contexts[depth].select("context", "total", "escape", "below_total", "below_escape")
-        wanted = wanted.withColumn("context", F.shiftrightunsigned("key", 8)).join(known, "context", "left")
-        # What only a gram that was not found needs is empty for the others, mostly the bulk.
-        wanted = wanted.withColumn("value", F.log((F.col("n") - 0.5) / F.col("total"))).withColumns(
-            {c: F.when(F.col("n").isNull(), F.col(c)) for c in ("escape", "below_total", "below_escape")}
-        )
-        asked.insert(0, materialize(wanted.drop("context", "total"), "asked"))
-    last = F.lit(math.log(1 / (256 - levels[0].where(F.col("n") >= least).count())))
-    # ``value`` is for a gram whose longer contexts are unknown, ``after`` for one that has escaped from a known one.
-    missed = F.when(F.col("escape").isNotNull(), F.col("escape") + last).otherwise(last)
-    done = asked[0].withColumns({"value": F.coalesce("value", missed), "after": last})
-    for depth in range(1, order + 1):
-        done = done.select(F.col("key").alias("_at"), F.col("n").alias("_n"), F.col("value").alias("_value"), F.col("after").alias("_after"))
-        rows = asked[depth].withColumn("_at", F.when(F.col("n").isNull(), _low("key", depth)))
-        after = F.when(F.col("_n").isNotNull(), F.log(F.col("_n") - 0.5) - F.col("below_total"))
-        after = after.otherwise(F.col("below_escape") + F.col("_after"))
-        missed = rows.where("n is null").join(done, "_at").withColumn("after", after)
-        missed = missed.withColumn("value", F.coalesce(F.col("escape") + F.col("after"), F.col("_value")))
-        found = rows.where("n is not null").withColumn("after", F.lit(None).cast("double"))
-        names = ["key", "uses", "value"] if depth == order else ["key", "n", "value", "after"]
-        done = materialize(found.select(*names).unionByName(missed.select(*names)), "values")
-    return done.select("key", "uses", "value")
+            part = here
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _models.clear()
+        split = shared.value
+        held, size, limit = [], 0, part_rows
+
+        def valued(rows: list[np.ndarray]) -> pa.RecordBatch:
+            keys, n, uses = rows
+            depths, values = _part_depths(keys, split, order), np.zeros(len(keys), np.float32)
+            for depth in np.unique(depths):
+                at = depths == depth
+                values[at] = gram_logs(keys[at], n[at], split, depth, order)
+            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(uses), pa.array(values)], names=["key", "uses", "value"])
+
+        for batch in batches:
+            held.append([batch.column(c).to_numpy() for c in ("key", "n", "uses")])
+            size += batch.num_rows
+            if size > limit:
+                rows = [np.concatenate(c) for c in zip(*held)]
+                rows[0] = rows[0].astype(U64)
+                # The last part may go on in the next batch.
+                last = _part_depths(rows[0][-1:], split, order)[0]
+                context = _context(rows[0], last, order)
+                cut = int(np.searchsorted(context, context[-1]))
+                if cut:
+                    yield valued([c[:cut] for c in rows])
+                held, size = [[c[cut:] for c in rows]], len(rows[0]) - cut
+                limit = size + part_rows
+        if size:
+            rows = [np.concatenate(c) for c in zip(*held)]
+            yield valued([rows[0].astype(U64), *rows[1:]])
+
+    dealt = grams.withColumn("_part", part).repartition("_part").sortWithinPartitions("key").select("key", "n", "uses")
+    with wide_batches(spark):
+        return materialize(dealt.mapInArrow(run, "key long, uses long, value float"), "values")
+
+
+def _size(uses: Column) -> Column:
+    """Sixteen sizes for every doubling, so there are less than 1,024 of them."""
+    return F.floor(F.log2(uses) * 16)
+
+
+def _least_size(values: DataFrame, most: int) -> int:
+    """The least size from which on at most ``most`` grams are."""
+    sizes = values.groupBy(_size(F.col("uses")).alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect()
+    least = 1 << 20
+    for row in sizes:
+        most -= row["n"]
+        if most < 0:
+            break
+        least = row["size"]
+    return least
 
 
 class Lookup:
     """Positions of 64-bit keys by open addressing; at most half of the slots is taken."""
 
     def __init__(self, keys: np.ndarray):
-        bits = max(4, (2 * len(keys)).bit_length())
+        bits = max(4, (2 * len(keys) - 1).bit_length())
         self._shift, self._mask = U64(64 - bits), (1 << bits) - 1
         self._keys = np.zeros(1 << bits, U64)
         self._place = np.full(1 << bits, -1, np.int32)
@@ -269,17 +344,17 @@ def score_documents(
     key: str = "doc_id",
     text: str = "text",
     order: int = ORDER,
-    keep_bits: int | None = None,
     word_bits: int = WORD_BITS,
     gram_bits: int = GRAM_BITS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """``(key, held_out, n_tokens, n_known, train_tokens, base_score, score)`` of every row.
 
     ``learns`` says which rows the model is trained on; all rows are scored. Training counts every text in full: each
-    task adds up its contexts and words, Spark adds up the tasks. The trie keeps every counted node, whatever the corpus holds, unless
-    ``keep_bits`` is given. The logarithms of the frequent grams (``gram_bits``) and the frequent words (``word_bits``) are
-    broadcast, which bounds what each worker holds; other grams and words of a text are looked up by joins, in which
-    none is frequent. ``base_score`` is the word model with one added to each count.
+    task adds up its contexts and words, Spark adds up the tasks. The trie keeps every counted node, whatever the corpus holds. The
+    logarithms of the most used grams (``gram_bits``) and the frequent words (``word_bits``) are broadcast, which bounds what
+    each worker holds; other grams and words of a text are looked up by joins. ``base_score`` is the word model with
+    one added to each count.
     Null and empty texts hold only their end; null and repeated keys are rows like others; with nothing to learn from,
     every byte is equally likely. Other columns are not read.
     """
@@ -287,10 +362,10 @@ def score_documents(
     bounded_batches(spark)
     rows = docs.select(F.col(key).alias("_key"), (~learns).alias("_held"), text_bytes(F.col(text)).alias("_text"))
     training = rows.where(~F.col("_held"))
-    values = log_probabilities(materialize(count_grams(rows, order), "grams"), order, keep_bits)
-    symbols = values.agg(F.sum("uses")).first()[0] or 0
-    common = F.col("uses") * F.lit(1 << gram_bits) >= F.lit(symbols)
-    top = values.where(common).select("key", F.col("value").cast("float").alias("value")).toArrow()
+    values = log_probabilities(materialize(count_grams(rows, order), "grams"), order, part_rows)
+    common = F.col("_size") >= F.lit(_least_size(values, 1 << gram_bits))
+    values = values.withColumn("_size", _size(F.col("uses")))
+    top = values.where(common).select("key", "value").toArrow()
     arrays = {"id": uuid.uuid4().hex, "keys": top["key"].to_numpy().astype(U64), "values": top["value"].to_numpy()}
     counts = materialize(count_words(training), "words")
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()

@@ -58,17 +58,17 @@ class PlainModel:
         return sum(math.log10(self.distribution(data[at - self.order : at])[data[at]]) for at in range(self.order, len(data)))
 
 
-@pytest.mark.parametrize("order, keep_bits, word_bits", [(3, 22, 19), (2, 7, 4), (6, 9, 2)])
-def test_scores_equal_plain_counting(spark, order, keep_bits, word_bits):
+@pytest.mark.parametrize("order, part_rows, word_bits, gram_bits", [(3, 1 << 19, 19, 22), (2, 7, 4, 3), (6, 40, 2, 6), (6, 1, 2, 22)])
+def test_scores_equal_plain_counting(spark, order, part_rows, word_bits, gram_bits):
     rng = random.Random(1)
     rows = [(50 + i, " ".join(rng.choice(["tha", "the", "Then", "ñ", "aaa", "x"]) for _ in range(rng.randrange(60))), "en", "a") for i in range(40)]
     docs = odd_documents(spark, rows).where("doc_id is null or doc_id <> 7").repartition(4)
-    got = ppm.score_documents(docs, remainder(F.col("doc_id"), 7) != 2, order=order, keep_bits=keep_bits, word_bits=word_bits)
+    options = {"order": order, "part_rows": part_rows, "word_bits": word_bits, "gram_bits": gram_bits}
+    got = ppm.score_documents(docs, remainder(F.col("doc_id"), 7) != 2, **options)
     held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2
     data = [(r.doc_id, r.text, lowered(r.text).encode()) for r in docs.select("doc_id", "text").collect()]
     training = [t for d, _, t in data if not held(d)]
-    symbols = sum(len(t) + 1 for t in training)
-    plain = PlainModel(training, order, max(1, -(-symbols // (1 << keep_bits))))
+    plain = PlainModel(training, order, 1)
     assert plain.distribution(b"the th"[-order:]).sum() == pytest.approx(1) and plain.distribution(b"\xff" * order).sum() == pytest.approx(1)
     words = Counter(w for t in training for w in [*t.split(), b""])
     n, v = sum(words.values()), len(words)
