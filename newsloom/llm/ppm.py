@@ -21,8 +21,8 @@ ORDER = 6
 GRAM_BITS = 22
 #: Grams that are worked out together; a context with more of them is split by its next byte.
 PART_ROWS = 1 << 19
-#: A word is frequent if it is at least one in 2**WORD_BITS of all tokens, so there are at most 2**WORD_BITS of them.
-WORD_BITS = 19
+#: The most used words are broadcast, at most 2**WORD_BITS of them.
+WORD_BITS = 18
 #: Stands before and behind a text; UTF-8 has no such byte.
 EDGE = 255
 
@@ -34,12 +34,12 @@ def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
     of context lie together. ``starts`` says where a text's keys begin.
     """
     edge = bytes([EDGE]) * order
-    data = np.frombuffer(edge + edge.join(texts) + edge, np.uint8)
+    data = edge + edge.join(texts) + edge
     lengths = np.array([len(t) for t in texts])
     n = len(data) - order
-    keys = np.zeros(n, U64)
-    for back in range(order + 1):
-        keys |= data[order - back : order - back + n].astype(U64) << U64(8 * (order + 1 - back) if back else 0)
+    # The eight bytes from each place on as one number, the first byte lowest.
+    eight = np.ndarray(n, "<u8", data + bytes(8), strides=(1,))
+    keys = ((eight & U64((1 << (8 * order)) - 1)) << U64(8)) | np.frombuffer(data, np.uint8)[order:]
     # One edge follows a text as its end; the other edges only open the next text.
     ends = np.cumsum(lengths + order)
     keep = np.zeros(n + 1, np.int32)
@@ -58,7 +58,7 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The lowest bit of a mark says that it is of training rows.
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+        size = symbols = 0
 
         def added(values: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
             first = np.concatenate([[True], values[1:] != values[:-1]])
@@ -66,12 +66,13 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
 
         def merged() -> list[np.ndarray]:
             marks = np.concatenate([m for m, _ in held])
-            by = np.argsort(marks)
+            by = np.argsort(marks, kind="stable")
             return added(marks[by], np.concatenate([c for _, c in held])[by])
 
         def batch_of(marks: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
             keys, n, uses = added(marks >> U64(1), np.where(marks & U64(1), counts, 0), counts)
-            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n), pa.array(uses)], names=["key", "n", "uses"])
+            both = (uses << 32) | n
+            return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(both)], names=["key", "both"])
 
         # A model that this worker has scored with is not needed while it counts.
         _models.clear()
@@ -82,18 +83,22 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
             marks, counts = np.unique(marks, return_counts=True)
             held.append((marks, counts.astype(np.int64)))
             size += len(marks)
-            if size > 3_000_000:
+            symbols += len(keys)
+            # Two counts below 2**31 share a number.
+            if size > 4_000_000 or symbols > 1 << 30:
                 one = merged()
-                if len(one[0]) > 1_500_000:
+                if len(one[0]) > 2_000_000 or symbols > 1 << 30:
                     yield batch_of(*one)
-                    held, size = [], 0
+                    held, size, symbols = [], 0, 0
                 else:
                     held, size = [tuple(one)], len(one[0])
         if held:
             yield batch_of(*merged())
 
-    partial = rows.select("_held", "_text").mapInArrow(run, "key long, n long, uses long")
-    return partial.groupBy("key").agg(F.sum("n").alias("n"), F.sum("uses").alias("uses"))
+    partial = rows.select("_held", "_text").mapInArrow(run, "key long, both long")
+    n, uses = F.col("both").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("both", 32)
+    # A task has a key about once, so Spark need not add up before the shuffle.
+    return partial.repartition("key").groupBy("key").agg(F.sum(n).alias("n"), F.sum(uses).alias("uses"))
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -264,9 +269,9 @@ def _size(uses: Column) -> Column:
     return F.floor(F.log2(uses) * 16)
 
 
-def _least_size(values: DataFrame, most: int) -> int:
-    """The least size from which on at most ``most`` grams are."""
-    sizes = values.groupBy(_size(F.col("uses")).alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect()
+def _least_size(rows: DataFrame, uses: str, most: int) -> int:
+    """The least size from which on there are at most ``most`` rows."""
+    sizes = rows.groupBy(_size(F.col(uses)).alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect()
     least = 1 << 20
     for row in sizes:
         most -= row["n"]
@@ -277,52 +282,56 @@ def _least_size(values: DataFrame, most: int) -> int:
 
 
 class Lookup:
-    """Positions of 64-bit keys by open addressing; at most half of the slots is taken."""
+    """Values of 64-bit keys by open addressing; at most half of the slots is taken."""
 
-    def __init__(self, keys: np.ndarray):
+    #: No gram is this number.
+    NONE = U64((1 << 64) - 1)
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
         bits = max(4, (2 * len(keys) - 1).bit_length())
         self._shift, self._mask = U64(64 - bits), (1 << bits) - 1
-        self._keys = np.zeros(1 << bits, U64)
-        self._place = np.full(1 << bits, -1, np.int32)
-        left = np.arange(len(keys))
+        place = np.full(1 << bits, -1, np.int32)
+        left = np.arange(len(keys), dtype=np.int32)
         slot = self._slot(keys)
         while len(left):
-            free = self._place[slot] < 0
-            self._place[slot[free]] = left[free]
-            taken = self._place[slot] == left
+            free = place[slot] < 0
+            place[slot[free]] = left[free]
+            taken = place[slot] == left
             left, slot = left[~taken], (slot[~taken] + 1) & self._mask
-        used = self._place >= 0
-        self._keys[used] = keys[self._place[used]]
+        used = place >= 0
+        self._keys, self._values = np.full(1 << bits, self.NONE), np.zeros(1 << bits, values.dtype)
+        self._keys[used], self._values[used] = keys[place[used]], values[place[used]]
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys * U64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(hit, value)``: whether each key is there, and its value or 0."""
         slot = self._slot(keys)
-        place = self._place[slot].astype(np.int64)
-        wrong = np.flatnonzero((place >= 0) & (self._keys[slot] != keys))
-        while len(wrong):
-            slot[wrong] = (slot[wrong] + 1) & self._mask
-            place[wrong] = self._place[slot[wrong]]
-            wrong = wrong[(place[wrong] >= 0) & (self._keys[slot[wrong]] != keys[wrong])]
-        return place
+        found = self._keys[slot]
+        hit = found == keys
+        on = np.flatnonzero(~hit & (found != self.NONE))
+        while len(on):
+            slot[on] = (slot[on] + 1) & self._mask
+            found = self._keys[slot[on]]
+            hit[on] = found == keys[on]
+            on = on[(found != keys[on]) & (found != self.NONE)]
+        return hit, np.where(hit, self._values[slot], 0)
 
 
 class Model:
-    """The logarithms of the frequent grams."""
+    """The logarithms of the most used grams."""
 
     def __init__(self, arrays: dict, order: int):
-        self._find, self._values, self._order = Lookup(arrays["keys"]), arrays["values"], order
+        self._lookup, self._order = Lookup(arrays["keys"], arrays["values"]), order
 
     def score(self, texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
-        """The sum over the frequent grams of each text with its end, and the list of its other grams."""
+        """The sum over the most used grams of each text with its end, and the list of its other grams."""
         keys, starts = grams_of(texts, self._order)
-        place = self._find.find(keys)
-        hit = place >= 0
-        logs = np.zeros(len(keys))
-        logs[hit] = self._values[place[hit]]
+        hit, logs = self._lookup.find(keys)
         others = np.concatenate([[0], np.cumsum(~hit)])[starts]
-        return np.add.reduceat(logs, starts[:-1]), lists(others, pa.array(keys[~hit].astype(np.int64)))
+        sums = np.add.reduceat(logs.astype(np.float64), starts[:-1])
+        return sums, lists(others, pa.array(keys[~hit].astype(np.int64)))
 
 
 _models: dict = {}
@@ -352,7 +361,7 @@ def score_documents(
 
     ``learns`` says which rows the model is trained on; all rows are scored. Training counts every text in full: each
     task adds up its contexts and words, Spark adds up the tasks. The trie keeps every counted node, whatever the corpus holds. The
-    logarithms of the most used grams (``gram_bits``) and the frequent words (``word_bits``) are broadcast, which bounds what
+    logarithms of the most used grams (``gram_bits``) and the most used words (``word_bits``) are broadcast, which bounds what
     each worker holds; other grams and words of a text are looked up by joins. ``base_score`` is the word model with
     one added to each count.
     Null and empty texts hold only their end; null and repeated keys are rows like others; with nothing to learn from,
@@ -363,14 +372,14 @@ def score_documents(
     rows = docs.select(F.col(key).alias("_key"), (~learns).alias("_held"), text_bytes(F.col(text)).alias("_text"))
     training = rows.where(~F.col("_held"))
     values = log_probabilities(materialize(count_grams(rows, order), "grams"), order, part_rows)
-    common = F.col("_size") >= F.lit(_least_size(values, 1 << gram_bits))
+    common = F.col("_size") >= F.lit(_least_size(values, "uses", 1 << gram_bits))
     values = values.withColumn("_size", _size(F.col("uses")))
     top = values.where(common).select("key", "value").toArrow()
     arrays = {"id": uuid.uuid4().hex, "keys": top["key"].to_numpy().astype(U64), "values": top["value"].to_numpy()}
     counts = materialize(count_words(training), "words")
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = sums["n"] or 0, sums["v"]
-    frequent = F.col("c") * F.lit(1 << word_bits) >= F.lit(n)
+    frequent = _size(F.col("c")) >= F.lit(_least_size(counts, "c", 1 << word_bits))
     words = counts.where(frequent).toArrow().to_pydict()
     shared = spark.sparkContext.broadcast((arrays, words, order))
 
