@@ -551,10 +551,8 @@ def sink_articles(spark, sf):
 def sink_grouped_events(spark, sf):
     path = new_path(spark, "grouped")
     writers.write_grouped_events(dated(spark, sf), path, size=200)
-    item = "struct<id:string,event:string,article_url:string,actors:array<string>>"
-    back = spark.read.schema(f"event_date string, chunk bigint, events array<{item}>").json(path)
-    rows = back.select("event_date", F.explode("events").alias("e"))
-    return rows.select("event_date", "e.id", "e.event", "e.article_url", joined("e.actors").alias("actors"))
+    back = readers.read_grouped_lines(spark, path)
+    return back.select("event_date", "id", "event", "article_url", joined("actors").alias("actors"))
 
 
 @query
@@ -562,9 +560,7 @@ def sink_merged_events(spark, sf):
     path = new_path(spark, "narrative")
     parts = merged_parts(spark, sf)
     writers.write_merged_events(merge.nest_merged(parts["events"], parts["actors"], parts["sources"], size=50), path)
-    item = "struct<title:string,article_url:string,published_date:string>"
-    schema = f"event_date string, merged_id bigint, chunk bigint, event string, details string, sources array<{item}>"
-    back = spark.read.schema(schema).json(path)
+    back = readers.read_merged_lines(spark, path)
     return back.select("event_date", "merged_id", "event", "details", F.explode("sources").alias("s")).select(
         "event_date", "merged_id", "event", "details", "s.*"
     )

@@ -71,6 +71,31 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_pointer(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """A small text file that takes the place of the former one in a single step, so a reader sees one or the other."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, fresh = hadoop.Path(path), hadoop.Path(f"{path}-{uuid.uuid4().hex}")
+    out = fresh.getFileSystem(spark._jsc.hadoopConfiguration()).create(fresh)
+    out.write(bytearray("\n".join(lines).encode()))
+    out.close()
+    how = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(fresh, target, how)
+
+
+def read_pointer(spark: SparkSession, path: str) -> list[str]:
+    """Lines of such a file; none when there is no file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return []
+    return spark.read.text(path, wholetext=True).first()["value"].split("\n")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a table was written to ``path`` to its end."""
     marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")

@@ -9,6 +9,10 @@ from newsloom import schemas
 from newsloom.functions.html import LAYOUT, PageLayout, decode_utf8, extract_page
 from newsloom.operators.inference import dictionary_rows
 from newsloom.operators.keyed import broadcast_limit, estimated_bytes, number_all, spread
+from newsloom.session import read_pointer
+
+#: A refreshed star: a file that names its versions, newest first, and the folder they lie in.
+STAR_POINTER, STAR_VERSIONS = "CURRENT", "versions"
 
 
 def _in_file_order(df: DataFrame, dense: bool) -> DataFrame:
@@ -90,7 +94,27 @@ def json_names(text: Column) -> Column:
 
 def read_grouped_events(spark: SparkSession, path: str) -> DataFrame:
     """``{date: [event, ...]}`` -> flat dated events; the key is the date."""
-    rows = _dated_items(spark, path, schemas.GROUPED_EVENT_JSON)
+    return _grouped_fields(_dated_items(spark, path, schemas.GROUPED_EVENT_JSON))
+
+
+def read_grouped_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same from what `write_grouped_events` writes, which is read in parts: a busy date is many lines."""
+    schema = f"event_date string, events array<{schemas.GROUPED_EVENT_JSON.simpleString()}>"
+    lines = spark.read.schema(schema).json(path)
+    return _grouped_fields(lines.select("event_date", F.explode("events").alias("_e")))
+
+
+def read_merged_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``event_date, merged_id, chunk, event, details, actors, sources`` from what `write_merged_events` writes.
+
+    An event with more names or sources than a chunk holds is several rows.
+    """
+    schema = schemas.MERGED_EVENT_JSON
+    lists = ", ".join(f"{name} {schema[name].dataType.simpleString()}" for name in ("actors", "sources"))
+    return spark.read.schema(f"event_date string, merged_id bigint, chunk bigint, event string, details string, {lists}").json(path)
+
+
+def _grouped_fields(rows: DataFrame) -> DataFrame:
     fields = [c for c in schemas.GROUPED_EVENT_JSON.names if c not in ("event_date", "actors", "location")]
     return rows.select(
         "event_date",
@@ -115,8 +139,10 @@ def read_merged_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_star(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """Six parquet tables under ``base``."""
-    return {name: spark.read.schema(schema).parquet(f"{base}/{name}") for name, schema in schemas.STAR.items()}
+    """The six parquet tables of the version that `write_star` made last, or plain tables under ``base``."""
+    versions = read_pointer(spark, f"{base}/{STAR_POINTER}")
+    folder = f"{base}/{STAR_VERSIONS}/{versions[0]}" if versions else base
+    return {name: spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in schemas.STAR.items()}
 
 
 def read_star_jdbc(spark: SparkSession, url: str, **options: str) -> dict[str, DataFrame]:

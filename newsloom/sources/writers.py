@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from newsloom.operators.grouping import group_events_by_date
 from newsloom.operators.keyed import number_in_group, pack
+from newsloom.session import read_pointer, remove_folder, write_pointer
+from newsloom.sources.readers import STAR_POINTER, STAR_VERSIONS
 
 
 def write_articles(articles: DataFrame, path: str, form: str = "json") -> None:
@@ -79,10 +82,26 @@ def write_by_date(dated: DataFrame, path: str, stage: Callable[[DataFrame], Data
         writer.option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
 
 
-def write_star(star: dict[str, DataFrame], base: str) -> None:
-    """Full refresh of each table."""
-    for name, table in star.items():
-        table.write.mode("overwrite").parquet(f"{base}/{name}")
+def write_star(star: dict[str, DataFrame], base: str, keep: int = 2) -> None:
+    """Full refresh of all tables at once, or of none.
+
+    The tables go to a folder of their own; then a pointer file is switched to it, which readers follow. A run that fails
+    leaves the former star as it was, and of two runs at the same time the later switch stands as a whole. The last ``keep``
+    versions stay, so tables that were opened before the switch can still be read, also by this very refresh.
+    """
+    spark = next(iter(star.values())).sparkSession
+    version = uuid.uuid4().hex
+    folder = f"{base}/{STAR_VERSIONS}"
+    try:
+        for name, table in star.items():
+            table.write.parquet(f"{folder}/{version}/{name}")
+    except BaseException:
+        remove_folder(spark, f"{folder}/{version}")
+        raise
+    versions = [version, *read_pointer(spark, f"{base}/{STAR_POINTER}")]
+    write_pointer(spark, f"{base}/{STAR_POINTER}", versions[:keep])
+    for old in versions[keep:]:
+        remove_folder(spark, f"{folder}/{old}")
 
 
 def write_star_jdbc(star: dict[str, DataFrame], url: str, **options: str) -> None:

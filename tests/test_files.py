@@ -4,6 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from newsloom import schemas
 from newsloom.operators import grouping
 from newsloom.sources import readers, writers
 from newsloom.streaming import ingest
@@ -113,3 +114,53 @@ def test_dates_that_are_gone_leave_the_table(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert rows(spark.read.parquet(path).select(F.col("event_date").cast("string"))) == [("2024-01-02",)]
+
+
+def test_lines_of_events_are_read_back(spark, tmp_path):
+    path = str(tmp_path / "grouped")
+    columns = "event_date string, article_pos long, entity_pos int, id string, title string, article_url string, published_date string, event string, actors array<string>, event_time string, location array<string>, details string"
+    events = [(d, n, 0, str(n), "T", f"u{n}", "p", f"E{n}", ["A", "b\"c"] if n % 2 else [], None, None if n % 3 else ["X"], "D\nd") for d in ("2024-01-02", "2024-01-01") for n in range(1, 8)]
+    dated = spark.createDataFrame(events, columns)
+    writers.write_grouped_events(dated, path, size=3)
+    names = [c for c in dated.columns if not c.endswith("_pos")]
+    assert rows(readers.read_grouped_lines(spark, path).select(names)) == rows(dated.select(names))
+    path = str(tmp_path / "merged")
+    source = "array<struct<title:string,article_url:string,published_date:string>>"
+    nested = spark.createDataFrame(
+        [("2024-01-01", 1, 0, "E", None, ["A", "B"], [("T", "u", None)]), ("2024-01-01", 1, 1, "E", None, ["C"], []), ("2024-01-02", 1, 0, "", "d", [], [])],
+        f"event_date string, merged_id bigint, chunk bigint, event string, details string, actors array<string>, sources {source}",
+    )
+    writers.write_merged_events(nested, path)
+    back = readers.read_merged_lines(spark, path)
+    assert back.columns == nested.columns and rows(back) == rows(nested)
+
+
+def test_a_star_is_refreshed_as_a_whole(spark, tmp_path):
+    base = str(tmp_path / "star")
+
+    def star_of(label):
+        text = {"string": label, "date": None}
+        return {n: spark.createDataFrame([tuple(text[t] for _, t in spark.createDataFrame([], s).dtypes)], s) for n, s in schemas.STAR.items()}
+
+    def labels():
+        return {r[0] for table in readers.read_star(spark, base).values() for r in table.collect()}
+
+    writers.write_star(star_of("one"), base)
+    assert labels() == {"one"}
+    broken = star_of("two")
+    broken["events"] = broken["events"].withColumn("label", F.raise_error(F.lit("lost")))
+    with pytest.raises(Exception, match="lost"):
+        writers.write_star(broken, base)
+    assert labels() == {"one"} and len(list((tmp_path / "star" / "versions").iterdir())) == 1
+    opened = readers.read_star(spark, base)
+    # A refresh may read the star that it replaces.
+    writers.write_star({n: t.withColumn(t.columns[0], F.lit("three")) for n, t in opened.items()}, base)
+    assert labels() == {"three"} and opened["actors"].first()[0] == "one"
+    writers.write_star(star_of("four"), base)
+    assert labels() == {"four"} and len(list((tmp_path / "star" / "versions").iterdir())) == 2
+
+
+def test_a_star_of_plain_tables_is_read(spark, tmp_path):
+    for name, schema in schemas.STAR.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    assert all(t.count() == 0 for t in readers.read_star(spark, str(tmp_path)).values())
