@@ -188,6 +188,16 @@ def crawled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").where("page_id % 10 <> 0").select("url", "html")
 
 
+def classed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``page_id, html``: the pages in the markup of the news site, with classes and a block for the date."""
+    clock = F.concat(F.lit(" २०८१ असार "), devanagari(F.col("page_id") % 31 + 1), F.lit(" गते &amp; ०९:३०\n"))
+    block = F.concat(F.lit('</h1><div id=d class="meta ok-news-post-hour"><i>x</i><span>'), clock, F.lit("</span></div>"))
+    html = F.replace("html", F.lit("<h1>"), F.lit("<h1 class='big entry-title'>"))
+    html = F.replace(html, F.lit("</h1>"), block)
+    html = F.replace(html, F.lit("<article>"), F.lit('<div class="ok18-single-post-content-wrap">'))
+    return table(spark, sf_dir, "pages").select("page_id", F.replace(html, F.lit("</article>"), F.lit("</div>")).alias("html"))
+
+
 def model_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, response``: what a model may answer, good and bad, one kind per ``event_id % 11``."""
     event = F.col("event_id")

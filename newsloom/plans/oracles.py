@@ -246,6 +246,9 @@ ORACLES = {
             ELSE day_en || ' गतेको कुरा, ' || month || ' महिना।' END AS weekdays FROM bsd)
         SELECT event_id, weekdays, replace(weekdays, 'गत', 'last') AS time_words, replace(weekdays, 'गत ', 'last ') AS whole_words FROM t""",
     "page_titles": f"SELECT page_id, {_TITLE} AS title FROM pages",
+    "page_by_classes": f"""SELECT page_id, {_TITLE} AS title,
+        '२०८१ असार ' || translate(CAST(page_id % 31 + 1 AS VARCHAR), '0123456789', '०१२३४५६७८९') || ' गते & ०९:३०' AS published_raw,
+        {_CONTENT} AS content FROM (SELECT page_id, {_CLEAN} AS html FROM pages)""",
     "page_content": f"SELECT page_id, {_CONTENT} AS content, '' AS published_raw FROM pages",
     "page_paragraphs_fallback": f"SELECT page_id, {_ALL_PARAGRAPHS} AS content FROM pages",
     "page_attach": "SELECT url, page_id AS pos, CASE WHEN page_id % 10 = 0 THEN '' ELSE html END AS html FROM pages",

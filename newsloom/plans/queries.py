@@ -339,6 +339,12 @@ def page_titles(spark, sf):
     return spread(a.table(spark, sf, "pages")).select("page_id", extract_title(clean, a.PAGE_LAYOUT).alias("title"))
 
 
+@query
+def page_by_classes(spark, sf):
+    """Title, published line and text of pages whose parts are found by class."""
+    return spread(a.classed_pages(spark, sf)).select("page_id", extract_page(F.col("html")).alias("p")).select("page_id", "p.*")
+
+
 @query
 def page_content(spark, sf):
     page = extract_page(F.col("html"), a.PAGE_LAYOUT)
