@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.keyed import HOT_ROWS, MAX_HOT_KEYS, salted_join
-from newsloom.session import materialize
+from newsloom.session import discard, materialize, scratch
 
 
 def star_edges(
@@ -61,21 +61,10 @@ def connected_components(
     for _ in range(max_rounds):
         if _all_stars(current, group):
             break
-        both = current.select(*group, F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
-            current.select(*group, F.col("v").alias("a"), F.col("u").alias("b"))
-        )
-        large = (
-            _with_minimum(both, [*group, "a"], "b", hot_rows, small_bytes)
-            .where(F.col("b") > F.col("a"))
-            .select(*group, F.col("b").alias("u"), F.least("_least", "a").alias("v"))
-            .distinct()
-        )
-        small = _with_minimum(large, [*group, "u"], "v", hot_rows, small_bytes)
-        pairs = F.array(
-            F.struct(F.col("u"), F.col("_least").alias("v")), F.struct(F.col("v").alias("u"), F.col("_least").alias("v"))
-        )
-        following = small.select(*group, F.explode(pairs).alias("p")).select(*group, "p.u", "p.v")
-        current = materialize(following.where("u <> v").distinct(), "edges")
+        with scratch(current.sparkSession) as keep:
+            following = keep(materialize(_contracted(current, group, hot_rows, small_bytes), "edges"))
+        discard(current)
+        current = following
     else:
         raise RuntimeError("components did not settle")
     members = current.select(*group, F.col("u").alias("node"), F.col("v").alias("component"))
@@ -83,6 +72,25 @@ def connected_components(
     return members.unionByName(centres)
 
 
+def _contracted(current: DataFrame, group: list[str], hot_rows: int, small_bytes: int | None) -> DataFrame:
+    """The edges after one large-star and one small-star step."""
+    both = current.select(*group, F.col("u").alias("a"), F.col("v").alias("b")).unionByName(
+        current.select(*group, F.col("v").alias("a"), F.col("u").alias("b"))
+    )
+    large = (
+        _with_minimum(both, [*group, "a"], "b", hot_rows, small_bytes)
+        .where(F.col("b") > F.col("a"))
+        .select(*group, F.col("b").alias("u"), F.least("_least", "a").alias("v"))
+        .distinct()
+    )
+    small = _with_minimum(large, [*group, "u"], "v", hot_rows, small_bytes)
+    pairs = F.array(
+        F.struct(F.col("u"), F.col("_least").alias("v")), F.struct(F.col("v").alias("u"), F.col("_least").alias("v"))
+    )
+    following = small.select(*group, F.explode(pairs).alias("p")).select(*group, "p.u", "p.v")
+    return following.where("u <> v").distinct()
+
+
 def _all_stars(edges: DataFrame, group: list[str]) -> bool:
     """True when every ``u`` has one ``v`` and no ``v`` is a ``u``: then each edge points at its component.
 

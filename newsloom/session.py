@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,14 +65,71 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/newsloom/{label}-{uuid.uuid4().hex}"
 
 
+#: Shuffle files of a write are of no use after it; Spark keeps them until the driver collects garbage, or removes them at once.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_STORED = re.compile(r"/newsloom/([^/]+-[0-9a-f]{32})/")
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
-    The table survives lost executors, gives the next plan real file sizes, and keeps columnar pruning.
+    The table survives lost executors, gives the next plan real file sizes, and keeps columnar pruning. It stays until
+    the innermost `scratch` around the call ends, or for good if there is none.
+    """
+    spark = df.sparkSession
+    path = new_path(spark, label)
+    for scope in _scopes.get()[-1:]:
+        scope.append(path)
+    usual = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if usual is None else spark.conf.set(SHUFFLE_CLEANUP, usual)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Removes, at the end of the block, the tables that `materialize` wrote inside it.
+
+    The block calls the given function with every frame that is used after it; the tables such a frame reads stay, and
+    belong to the block around this one. A frame that was written anew no longer reads what it was made from, so a lost
+    executor never sends Spark back to a table that is gone.
     """
-    path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written: list[str] = []
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    outer = _scopes.get()
+    token = _scopes.set((*outer, written))
+    try:
+        yield keep
+    finally:
+        _scopes.reset(token)
+        read = {name for df in kept for name in _folders(df)}
+        for path in written:
+            if path.rsplit("/", 1)[-1] not in read:
+                remove_folder(spark, path)
+            elif outer:
+                outer[-1].append(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the tables of `materialize` that ``df`` reads. Only for a table whose last reader has been written."""
+    spark = df.sparkSession
+    for name in _folders(df):
+        remove_folder(spark, f"{shared_dir(spark)}/newsloom/{name}")
+
+
+def _folders(df: DataFrame) -> set[str]:
+    """Names of the folders of `materialize` that a frame reads; each is unique by its random part."""
+    return {name for file in df.inputFiles() for name in _STORED.findall(file)}
 
 
 def write_pointer(spark: SparkSession, path: str, lines: list[str]) -> None:
