@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from newsloom.llm import superminhash
 from newsloom.llm.common import bounded_batches, chunks, hot_join, keyed_schema, text_bytes
-from newsloom.session import materialize
+from newsloom.session import materialize, scratch
 
 #: A line on at least this many distinct sites is boilerplate.
 SITES = 8
@@ -99,10 +99,14 @@ def remove_boilerplate(
     rows = docs.select(
         F.struct(*names).alias("_doc"), F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"), source.alias("site")
     ).withColumn("_hash", F.xxhash64("_text", F.lit(3)))
-    lines = materialize(line_rows(rows.withColumn("_text", text_bytes(F.col("_text")))), "lines")
-    wide = materialize(spread_lines(lines, sites, near).withColumn("_spread", F.lit(True)), "boilerplate")
-    marked = materialize(hot_join(lines, wide, ["_h", "_g"], "_rows").where("_spread").drop("_spread"), "marked")
-    spread = _on_many_pages(rows, marked, sites, near)
+    with scratch(docs.sparkSession) as keep:
+        lines = materialize(line_rows(rows.withColumn("_text", text_bytes(F.col("_text")))), "lines")
+        wide = materialize(spread_lines(lines, sites, near).withColumn("_spread", F.lit(True)), "boilerplate")
+        marked = keep(materialize(hot_join(lines, wide, ["_h", "_g"], "_rows").where("_spread").drop("_spread"), "marked"))
+    with scratch(docs.sparkSession) as keep:
+        spread = _on_many_pages(rows, marked, sites, near)
+        if spread is not None:
+            keep(spread)
     if spread is not None:
         marked = hot_join(marked, spread.withColumn("_spread", F.lit(True)), ["_h", "_g"], "_rows").where("_spread")
     gone = marked.groupBy(F.col("_key").alias("_k"), F.col("_hash").alias("_x")).agg(F.collect_set("_pos").alias("_gone"))

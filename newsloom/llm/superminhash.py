@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from newsloom.llm.common import GOLDEN, U64, Memo, bounded_batches, chunks, hot_join, lists, mixed, text_bytes
 from newsloom.operators.components import connected_components
 from newsloom.operators.keyed import salted_join
-from newsloom.session import materialize
+from newsloom.session import discard, materialize, scratch
 
 #: Slots of a signature, a power of two so that odd steps walk through all of them.
 SLOTS = 128
@@ -183,18 +183,19 @@ def near_duplicates(
     """
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("_node"), text_bytes(F.col(text)).alias("_text"))
-    signed = materialize(signed_rows(rows, words, slots, band), "signed")
-    usable = F.col("_node").isNotNull() & (F.col("n_shingles") > 0)
-    classes = signed.where(usable).groupBy("_d1", "_d2", "n_shingles").agg(
-        F.min("_node").alias("_node"), F.count(F.lit(1)).alias("_rows"), F.first("_bands").alias("_bands")
-    )
-    classes = materialize(classes, "classes")
-    buckets = classes.select("_node", F.col("n_shingles").alias("_n"), F.explode("_bands").alias("_band"))
-    labels = _grouped(buckets, rows, words, percent)
-    named = classes.select("_d1", "_d2", "n_shingles", "_rows", "_node")
-    if labels is not None:
-        named = named.join(labels, "_node", "left").withColumn("_node", F.coalesce("component", "_node")).drop("component")
-    named = materialize(named.withColumnRenamed("_node", "_component"), "named")
+    with scratch(docs.sparkSession) as keep:
+        signed = keep(materialize(signed_rows(rows, words, slots, band), "signed"))
+        usable = F.col("_node").isNotNull() & (F.col("n_shingles") > 0)
+        classes = signed.where(usable).groupBy("_d1", "_d2", "n_shingles").agg(
+            F.min("_node").alias("_node"), F.count(F.lit(1)).alias("_rows"), F.first("_bands").alias("_bands")
+        )
+        classes = materialize(classes, "classes")
+        buckets = classes.select("_node", F.col("n_shingles").alias("_n"), F.explode("_bands").alias("_band"))
+        labels = _grouped(buckets, rows, words, percent)
+        named = classes.select("_d1", "_d2", "n_shingles", "_rows", "_node")
+        if labels is not None:
+            named = named.join(labels, "_node", "left").withColumn("_node", F.coalesce("component", "_node")).drop("component")
+        named = keep(materialize(named.withColumnRenamed("_node", "_component"), "named"))
     found = hot_join(signed.drop("_bands"), named, ["_d1", "_d2", "n_shingles"], "_rows")
     component = F.when(F.col("_node").isNotNull(), F.coalesce("_component", "_node"))
     return found.select(
@@ -216,6 +217,7 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
     weights = open_.groupBy("_node").agg(F.sum("_rows").alias("_w"))
     members = materialize(open_.drop("_rows").join(weights, "_node").select("_band", "_node", "_n", "_w"), "members")
     sets = materialize(full_sets(rows.join(weights.select("_node"), "_node", "left_semi"), words).dropDuplicates(["_node"]), "sets")
+    discard(open_)
 
     # First, each member is compared with one head only: the weightiest of its buckets.
     place = F.struct(F.col("_w"), _order(F.col("_node")).alias("o"), F.col("_node").alias("node"), F.col("_n").alias("n"))
@@ -232,16 +234,16 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
     count = FIRST_HEADS
     while True:
         # Buckets that hold more than one component stay, without the members that can have no link there.
-        named = materialize(_unsettled(_named(members, labels)), "members")
+        named = _replaced(members, _unsettled(_named(members, labels)))
         if named.isEmpty():
             return labels
-        named = materialize(_unsettled(_possible(named, sets, percent)), "members")
+        named = _replaced(named, _unsettled(_possible(named, sets, percent)))
         if named.isEmpty():
             return labels
-        named = named.join(refs, "_band")
+        referred = named.join(refs, "_band")
         if changes is None:
-            changes = _changes(named, sets)
-        named = materialize(named.join(changes, ["_node", "_ref"]), "members")
+            changes = _changes(referred, sets)
+        named = _replaced(named, referred.join(changes, ["_node", "_ref"]))
         # Members of a bucket's small components go first: when they have met all others, one component is left.
         sizes = named.groupBy("_band", "_component").agg(F.count(F.lit(1)).alias("_size"))
         ranked = Window.partitionBy("_band").orderBy("_size", F.desc("_w"), _order(F.col("_node")), "_node")
@@ -267,6 +269,7 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
         more = materialize(linked_pairs(pairs, sets, percent), "links")
         if not more.isEmpty():
             links = links.unionByName(more)
+            discard(labels)
             labels = _components(links)
         tested = tested.unionByName(pairs)
         # The heads have met all members of their buckets.
@@ -274,6 +277,13 @@ def _grouped(buckets: DataFrame, rows: DataFrame, words: int, percent: int) -> D
         count = min(2 * count, MOST_HEADS)
 
 
+def _replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``new``, stored; the tables of ``old``, which nothing else reads, go."""
+    stored = materialize(new, "members")
+    discard(old)
+    return stored
+
+
 def _unsettled(named: DataFrame) -> DataFrame:
     """The rows of buckets whose members belong to more than one component."""
     bands = named.groupBy("_band").agg(F.min("_component").alias("_x"), F.max("_component").alias("_y")).where("_x < _y")
@@ -304,26 +314,28 @@ def _changes(named: DataFrame, sets: DataFrame) -> DataFrame:
     member too. Two sets differ by what they lack differently and by what they add differently, so these counts bound
     their difference from below: members with many changes of their own are like none of the others.
     """
-    pairs = materialize(named.select("_node", "_ref").distinct(), "references")
-    own = pairs.join(sets, "_node")
-    reference = sets.select(F.col("_node").alias("_ref"), F.col("_set").alias("_ref_set"))
-    # One text may be the reference of most members.
-    both = salted_join(own, reference, ["_ref"], spread=["_node"], hot_from=pairs, hot_rows=HOT_REFERENCE)
-    found = both.select(
-        "_node", "_ref", F.size(F.array_except("_ref_set", "_set")).alias("_lacks"), F.array_except("_set", "_ref_set").alias("_new")
-    )
-    found = materialize(found, "changes")
-    single = found.select("_node", "_ref", F.explode("_new").alias("_shingle")).groupBy("_ref", "_shingle")
-    single = single.agg(F.count(F.lit(1)).alias("_times"), F.min("_node").alias("_node")).where("_times = 1")
-    alone = single.groupBy("_node", "_ref").agg(F.count(F.lit(1)).alias("_alone"))
-    counted = found.select("_node", "_ref", "_lacks", F.size("_new").alias("_adds")).join(alone, ["_node", "_ref"], "left")
-    shared = F.col("_adds") - F.coalesce("_alone", F.lit(0))
-    return materialize(counted.select("_node", "_ref", "_lacks", "_adds", shared.alias("_shared")), "changes")
+    with scratch(named.sparkSession) as keep:
+        pairs = materialize(named.select("_node", "_ref").distinct(), "references")
+        own = pairs.join(sets, "_node")
+        reference = sets.select(F.col("_node").alias("_ref"), F.col("_set").alias("_ref_set"))
+        # One text may be the reference of most members.
+        both = salted_join(own, reference, ["_ref"], spread=["_node"], hot_from=pairs, hot_rows=HOT_REFERENCE)
+        found = both.select(
+            "_node", "_ref", F.size(F.array_except("_ref_set", "_set")).alias("_lacks"), F.array_except("_set", "_ref_set").alias("_new")
+        )
+        found = materialize(found, "changes")
+        single = found.select("_node", "_ref", F.explode("_new").alias("_shingle")).groupBy("_ref", "_shingle")
+        single = single.agg(F.count(F.lit(1)).alias("_times"), F.min("_node").alias("_node")).where("_times = 1")
+        alone = single.groupBy("_node", "_ref").agg(F.count(F.lit(1)).alias("_alone"))
+        counted = found.select("_node", "_ref", "_lacks", F.size("_new").alias("_adds")).join(alone, ["_node", "_ref"], "left")
+        shared = F.col("_adds") - F.coalesce("_alone", F.lit(0))
+        return keep(materialize(counted.select("_node", "_ref", "_lacks", "_adds", shared.alias("_shared")), "changes"))
 
 
 def _components(links: DataFrame) -> DataFrame:
-    found = connected_components(links.select(F.col("_a").alias("src"), F.col("_b").alias("dst")))
-    return materialize(found.select(F.col("node").alias("_node"), "component"), "labels")
+    with scratch(links.sparkSession) as keep:
+        found = connected_components(links.select(F.col("_a").alias("src"), F.col("_b").alias("dst")))
+        return keep(materialize(found.select(F.col("node").alias("_node"), "component"), "labels"))
 
 
 def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
