@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from newsloom.llm import langfilters, linespread, packing, superminhash, wumanber
 from newsloom.llm.common import free_name, table
 from newsloom.llm.encoding import public_vocabulary
-from newsloom.session import materialize, ship_package
+from newsloom.session import materialize, scratch, ship_package
 
 #: A text is rejected if no language holds at least this share of its n-grams.
 LEAST_SCORE = 0.05
@@ -39,8 +39,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows with a null key stay.
     """
-    found = superminhash.near_duplicates(docs, words=WORDS, percent=PERCENT, band=BAND)
-    kept = materialize(found.where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct(), "kept")
+    with scratch(spark) as keep:
+        found = superminhash.near_duplicates(docs, words=WORDS, percent=PERCENT, band=BAND)
+        kept = keep(materialize(found.where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct(), "kept"))
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_kept"), F.xxhash64("text").alias("_text"))
     one = rows.join(kept, "_kept", "left_semi").groupBy("_kept", "_text").agg(F.first("_row").alias("_row"))
     return one.select("_row.*").unionByName(docs.where("doc_id is null"))
@@ -75,5 +76,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scratch(spark) as keep:
+            docs = keep(materialize(stage(spark, docs, sf_dir), name))
     return docs
