@@ -10,6 +10,7 @@ from newsloom.functions.html import LAYOUT, PageLayout, decode_utf8, extract_pag
 from newsloom.operators.inference import dictionary_rows
 from newsloom.operators.keyed import broadcast_limit, estimated_bytes, number_all, spread
 from newsloom.session import read_pointer
+from newsloom.sources.split_json import json_items
 
 #: A refreshed star: a file that names its versions, newest first, and the folder they lie in.
 STAR_POINTER, STAR_VERSIONS = "CURRENT", "versions"
@@ -81,10 +82,8 @@ def read_alias_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _dated_items(spark: SparkSession, path: str, item) -> DataFrame:
-    whole = spark.read.text(path, wholetext=True)
-    by_date = whole.select(F.explode(F.from_json("value", "map<string,string>")).alias("event_date", "_events"))
-    items = F.from_json("_events", f"array<{item.simpleString()}>")
-    return by_date.select("event_date", F.posexplode(items).alias("_pos", "_e"))
+    rows = json_items(spark, path)
+    return rows.select(F.col("key").alias("event_date"), F.col("pos").alias("_pos"), F.from_json("text", item).alias("_e"))
 
 
 def json_names(text: Column) -> Column:
@@ -93,7 +92,7 @@ def json_names(text: Column) -> Column:
 
 
 def read_grouped_events(spark: SparkSession, path: str) -> DataFrame:
-    """``{date: [event, ...]}`` -> flat dated events; the key is the date."""
+    """``{date: [event, ...]}`` -> flat dated events; the key is the date. One large file is read by many tasks."""
     return _grouped_fields(_dated_items(spark, path, schemas.GROUPED_EVENT_JSON))
 
 
