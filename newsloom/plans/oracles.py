@@ -345,6 +345,8 @@ ORACLES = {
         ELSE text END AS content FROM documents""",
     "sink_grouped_events": f"""WITH {ENT} SELECT event_date, CAST(n AS VARCHAR) AS id, event, article_url,
         array_to_string(actors, '|') AS actors FROM dated""",
+    "date_keyed_file": f"""WITH {ENT} SELECT event_date, CAST(n AS VARCHAR) AS id, event, article_url,
+        array_to_string(actors, '|') AS actors FROM dated""",
     "sink_merged_events": f"""WITH {MERGED} SELECT event_date, merged_id, event, details, title, article_url, published_date
         FROM mev JOIN msrc USING (event_date, merged_id)""",
     "sink_graph_xml": f"""WITH {STAR}, nodes AS ({NODES}), edges AS ({EDGES})

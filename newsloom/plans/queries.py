@@ -561,6 +561,16 @@ def sink_grouped_events(spark, sf):
     return back.select("event_date", "id", "event", "article_url", joined("actors").alias("actors"))
 
 
+@query
+def date_keyed_file(spark, sf):
+    """Objects ``{date: [event, ...]}`` written from the events and read back in parts."""
+    path = new_path(spark, "date-keyed")
+    lists = grouping.group_events_by_date(dated(spark, sf), 1_000)
+    lists.select(F.to_json(F.create_map("event_date", "events"))).write.text(path)
+    back = readers.read_grouped_events(spark, path)
+    return back.select("event_date", "id", "event", "article_url", joined("actors").alias("actors"))
+
+
 @query
 def sink_merged_events(spark, sf):
     path = new_path(spark, "narrative")
