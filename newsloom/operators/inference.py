@@ -5,6 +5,7 @@ The model itself is a function the user gives. Deterministic stand-ins live in `
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -92,7 +93,7 @@ def candidate_groups(events: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def infer(
     prompts: DataFrame,
-    model: Callable[[pd.Series], pd.Series],
+    model: Callable[[pd.Series], pd.Series | list],
     calls_in_flight: int | None = None,
     store: bool = True,
     work: str | None = None,
@@ -100,8 +101,9 @@ def infer(
 ) -> DataFrame:
     """Adds ``response`` and ``error`` by running ``model`` over Arrow batches of ``prompt``.
 
-    ``model`` maps a series of prompts to a series of as many responses. A batch that fails is asked again in halves;
-    a prompt that fails alone gets a null response and the text of the failure. The result is written before use,
+    ``model`` maps a series of prompts to a series or list of as many responses. A batch that fails is asked again in halves,
+    or in smaller pieces as more prompts of the task have failed, down to one by one; a prompt that fails alone gets a null
+    response and the text of the failure. The result is written before use,
     since a plan may otherwise run the calls again. ``calls_in_flight`` sets how many tasks call at the same time.
 
     With ``work``, a folder that keeps its name over runs, prompts are answered bucket by bucket of their hash, and a
@@ -111,21 +113,29 @@ def infer(
         [*prompts.schema.fields, T.StructField("response", T.StringType(), True), T.StructField("error", T.StringType(), True)]
     )
 
-    def answer(batch: pd.Series) -> list[tuple]:
+    def answer(batch: pd.Series, seen: Counter) -> list[tuple]:
         try:
             found = list(model(batch))
             if len(found) != len(batch):
                 raise ValueError(f"{len(found)} responses to {len(batch)} prompts")
+            seen["settled"] += len(batch)
             return [(response, None) for response in found]
         except Exception as failure:
             if len(batch) == 1:
+                seen.update(settled=1, refused=1)
                 return [(None, f"{type(failure).__name__}: {failure}")]
-            half = len(batch) // 2
-            return answer(batch.iloc[:half]) + answer(batch.iloc[half:])
+        found = []
+        while len(found) < len(batch):
+            size = len(batch) // 2
+            if seen["refused"]:
+                size = max(1, min(size, seen["settled"] // (2 * seen["refused"])))
+            found += answer(batch.iloc[len(found) : len(found) + size], seen)
+        return found
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = Counter()
         for batch in batches:
-            found = answer(batch["prompt"]) if len(batch) else []
+            found = answer(batch["prompt"], seen) if len(batch) else []
             yield batch.assign(response=[r for r, _ in found], error=[e for _, e in found])
 
     def answered(rows: DataFrame) -> DataFrame:

@@ -45,6 +45,24 @@ def test_infer_keeps_rows_of_failed_calls(spark):
     assert inference.infer(df, model, calls_in_flight=3, store=False).rdd.getNumPartitions() == 3
 
 
+def test_many_failures_cost_little_more_than_a_call_each(spark, tmp_path):
+    calls = tmp_path / "calls"
+
+    def model(prompts):
+        with calls.open("a") as file:
+            file.write("x")
+        if prompts.str.contains("6").any():
+            raise RuntimeError("refused")
+        return prompts.str.upper().tolist()
+
+    data = [(i, f"p{i * 7919 % 100_000}") for i in range(2_000)] + [(None, None)]
+    df = spark.createDataFrame(data, "pos long, prompt string").coalesce(1)
+    expected = [(i, None if p is None or "6" in p else p.upper(), "RuntimeError: refused" if p and "6" in p else None) for i, p in data]
+    assert rows(inference.infer(df, model).drop("prompt")) == sorted(expected, key=repr)
+    # Halves alone, over the 813 prompts that fail, are 3,211 calls.
+    assert len(calls.read_text()) < 2_100
+
+
 def test_prompts(spark):
     articles = spark.createDataFrame([(1, "t", "d", "body"), (2, "t", "d", None)], "pos long, title string, published_date string, content string")
     assert rows(inference.extraction_prompts(articles, "Do.")) == [(1, "Do.\n\nbody"), (2, "Do.\n\n")]
