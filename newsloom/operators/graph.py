@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsloom.operators.keyed import salted_join
+from newsloom.session import materialize
 
 NODE_COLUMNS = ["node_id", "role", "label", "details", "url", "published_date"]
 
@@ -97,22 +98,30 @@ def pruned_links(star: dict[str, DataFrame], date_from: str, **join) -> tuple[Da
         .join(to_actor.select("event_key").distinct(), "event_key", "left_semi")
         .join(known, "event_key", "left_semi")
     )
-    by_event = {"how": "left_semi", **join}
-    return (
-        salted_join(to_actor, both, ["event_key"], spread=["actor_key"], hot_from=star["event_actors"], **by_event),
-        salted_join(to_source, both, ["event_key"], spread=["source_key"], hot_from=star["event_sources"], **by_event),
-    )
+    # A count of hot events would shuffle both link tables twice more. An event of very many links is split by Spark
+    # itself, since the left side of these joins is the shuffle alone and nothing after it needs its partitions.
+    return to_actor.join(both, "event_key", "left_semi"), to_source.join(both, "event_key", "left_semi")
 
 
-def graph_edges(star: dict[str, DataFrame], date_from: str, **join) -> DataFrame:
-    """The edges of `build_edges` over `star_join`, from the pruned links."""
+def stored_links(star: dict[str, DataFrame], date_from: str, **join) -> tuple[DataFrame, DataFrame]:
+    """`pruned_links` written once, for nodes and edges that are written one after the other."""
     actor_links, source_links = pruned_links(star, date_from, **join)
+    return materialize(actor_links, "actor-links"), materialize(source_links, "source-links")
+
+
+def graph_edges(
+    star: dict[str, DataFrame], date_from: str, links: tuple[DataFrame, DataFrame] | None = None, **join
+) -> DataFrame:
+    """The edges of `build_edges` over `star_join`, from the pruned links, which may be given."""
+    actor_links, source_links = links or pruned_links(star, date_from, **join)
     return actor_links.select(*_edge("actor", "event")).unionByName(source_links.select(*_edge("event", "source")))
 
 
-def graph_nodes(star: dict[str, DataFrame], date_from: str, **join) -> DataFrame:
-    """The nodes of `build_nodes` over `star_join`, from the pruned links."""
-    actor_links, source_links = pruned_links(star, date_from, **join)
+def graph_nodes(
+    star: dict[str, DataFrame], date_from: str, links: tuple[DataFrame, DataFrame] | None = None, **join
+) -> DataFrame:
+    """The nodes of `build_nodes` over `star_join`, from the pruned links, which may be given."""
+    actor_links, source_links = links or pruned_links(star, date_from, **join)
     actors = star["actors"].join(actor_links.select("actor_key").distinct(), "actor_key", "left_semi")
     events = star["events"].join(source_links.select("event_key").distinct(), "event_key", "left_semi")
     sources = star["sources"].join(source_links.select("source_key").distinct(), "source_key", "left_semi")

@@ -52,6 +52,25 @@ def test_pruned_graph_equals_product_join(spark, seed, options):
     assert rows(graph.graph_edges(tables, "2025-01-04", **options)) == rows(graph.build_edges(joined))
 
 
+def test_hot_events_are_not_counted(spark):
+    """A count of the links of each event shuffles both link tables; only actors and sources are counted, where they are large."""
+    tables = random_star(spark, 3)
+    for frame in (graph.graph_nodes, graph.graph_edges):
+        text = frame(tables, "2025-01-04", small_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+        counted = [line for line in text.splitlines() if "Aggregate [event_key" in line and "count(1)" in line]
+        assert "count(1)" in text and not counted
+
+
+def test_stored_links_give_the_same_graph(spark):
+    tables = random_star(spark, 4)
+    links = graph.stored_links(tables, "2025-01-04")
+    for frame in (graph.graph_nodes, graph.graph_edges):
+        given = frame(tables, "2025-01-04", links)
+        assert rows(given) == rows(frame(tables, "2025-01-04"))
+        # Every link is read as stored and never joined with the date range again.
+        assert "published_date >=" not in given._jdf.queryExecution().optimizedPlan().toString()
+
+
 def parts_and_aliases(spark, merged):
     events = spark.createDataFrame([(d, m, e, "x") for d, m, e, _, _ in merged], "event_date string, merged_id long, event string, details string")
     actors = spark.createDataFrame([(d, m, i, a) for d, m, _, names, _ in merged for i, a in enumerate(names)], "event_date string, merged_id long, actor_pos int, actor string")
