@@ -71,6 +71,22 @@ def test_no_pair_of_random_groups_is_lost(spark):
     assert found == true and sum(c != n for (_, n), c in true.items()) > 300
 
 
+def test_tokens_are_worked_out_once(spark):
+    worked = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def tokens(text):
+        worked.add(1)
+        return None if text is None else text.split()
+
+    data = [("d", 1, "a b c"), ("d", 2, "a b c"), ("d", 3, ""), ("d", 4, None), (None, 5, "a b"), ("e", 6, "a b c")]
+    df = spark.createDataFrame(data, "g string, n long, text string").repartition(2)
+    df = df.select("g", "n", tokens("text").alias("tokens"))
+    found = similar.similar_groups(df, ["g"], "n", "tokens")
+    assert rows(found) == [("d", 1, 1), ("d", 2, 1), ("d", 3, 3), ("d", 4, 4), ("e", 6, 6)]
+    assert worked.value == len(data)
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.3, 0.8])
 def test_tokens_of_many_sets(spark, threshold):
     """Hot tokens: sets that share one or two with hundreds like none, tiny ones, and chains between them."""
