@@ -98,8 +98,8 @@ def pruned_links(star: dict[str, DataFrame], date_from: str, **join) -> tuple[Da
         .join(to_actor.select("event_key").distinct(), "event_key", "left_semi")
         .join(known, "event_key", "left_semi")
     )
-    # A count of hot events would shuffle both link tables twice more. An event of very many links is split by Spark
-    # itself, since the left side of these joins is the shuffle alone and nothing after it needs its partitions.
+    # A count of hot events would shuffle both link tables twice more. Spark's adaptive joins split an event of very many
+    # links where nothing after the join needs its partitions; the distinct events of `graph_nodes` do, so there they do not.
     return to_actor.join(both, "event_key", "left_semi"), to_source.join(both, "event_key", "left_semi")
 
 
