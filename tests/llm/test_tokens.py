@@ -1,5 +1,6 @@
 """Encoding, packing and addressable codes against the library and by round trips."""
 
+import itertools
 import zlib
 from collections import defaultdict
 
@@ -29,6 +30,39 @@ def test_encoder_equals_the_library():
         assert [np.frombuffer(x, "<u4").tolist() for x in encoder.many([t.encode() for t in texts])] == [x.tolist() for x in library(texts)]
 
 
+def ids_of(encoder, texts):
+    return [np.frombuffer(x, "<u4").tolist() for x in encoder.many([t.encode() for t in texts])]
+
+
+def test_encoder_cuts_symbols_and_accents_as_the_library():
+    texts = [
+        "word... (word) word!?\" don't... it's), 'tis' $$$ a,b.) <|endoftext|>. x<|endoftext|>,, é!!! ß\"",
+        "\u0958. \u0958!? \u0915. \u212b. İ.", "T\u0344x T\u0308 t\u0308 J\u030c. H\u0331, w\u030a W\u030a",
+        "\x01 a\x01b, x \x01\x01 y", "\u3000 \x85 x\u3000, \u0301a",
+    ]
+    for words in (5, 1000):
+        encoder = Encoder(public_vocabulary(), words=words)
+        for _ in range(2):
+            assert ids_of(encoder, texts) == [x.tolist() for x in library(texts)]
+
+
+def test_new_words_are_encoded_together_and_without_their_symbols():
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.texts = tokenizer, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    encoder = Encoder(public_vocabulary())
+    encoder._tokenizer = counting = Counting(encoder._tokenizer)
+    words = ["".join(x) for x in itertools.product("abcdefgh", repeat=4)]
+    text = " ".join(word + end for word in words for end in (",", "!?", '..."', ""))
+    assert ids_of(encoder, [text]) == [x.tolist() for x in library([text])]
+    assert len(counting.texts) < 20 and sum(x.split().count("abcd") for x in counting.texts) == 1
+
+
 def test_file_round_trip_and_random_access():
     random = np.random.default_rng(3)
     ids = np.concatenate([random.integers(0, 1 << int(b), 500) for b in random.integers(1, 32, 40)]).astype(np.uint32)
